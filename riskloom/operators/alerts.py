@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.joins import new_only
 from riskloom.operators.selection import latest_per_key
+from riskloom.workspace import small_frame
 
 RULE_SCHEMA = "alert_name string, column string, metric string, threshold double"
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rules, RULE_SCHEMA)
+    return small_frame(spark, rules, RULE_SCHEMA)
 
 
 def evaluate_alerts(metrics: DataFrame, rules: DataFrame, since: Column, until: Column) -> DataFrame:

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.workspace import written
+from riskloom.workspace import small_frame, written
 
 HOT_KEY_ROWS = 2_000_000
 MAX_HOT_KEYS = 512
@@ -168,9 +169,10 @@ def retrieve_features(
     unusable = spine.filter(~_all_set([*keys, spine_ts]))
     hot = [] if hot_rows is None else hot_keys([usable, *[v.frame for v in views]], keys, hot_rows)
     if hot:
-        session = spine.sparkSession
-        names = session.createDataFrame(hot).select(*keys)  # at most MAX_HOT_KEYS rows
-        names = F.broadcast(names.select(*[F.col(k).cast(spine.schema[k].dataType) for k in keys]))
+        # at most MAX_HOT_KEYS rows
+        key_schema = T.StructType([T.StructField(k, spine.schema[k].dataType) for k in keys])
+        names = small_frame(spine.sparkSession, [tuple(row[k] for k in keys) for row in hot], key_schema)
+        names = F.broadcast(names)
 
         def part(frame: DataFrame, how: str) -> DataFrame:
             return frame.join(names, keys, how)

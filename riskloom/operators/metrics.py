@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import surrogate_id
+from riskloom.workspace import small_frame
 
 SCALARS = [
     "accuracy",
@@ -99,7 +100,7 @@ def per_label_prf(counts: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def per_class_prf(counts: DataFrame, labels: list[str]) -> DataFrame:
     """Precision, recall, F1 and support for the given labels; an absent label gives zeros."""
-    given = counts.sparkSession.createDataFrame([(name,) for name in labels], "label string")
+    given = small_frame(counts.sparkSession, [(name,) for name in labels], "label string")
     tallies = given.join(label_tallies(counts), "label", "left").fillna(0)
     return _prf(tallies, ["label"])
 
@@ -249,7 +250,7 @@ def promotion_check(long_metrics: DataFrame, thresholds: dict[str, float]) -> Da
     A metric that is missing fails with reason ``metric_not_found``.
     """
     spark = long_metrics.sparkSession
-    wanted = spark.createDataFrame(list(thresholds.items()), "metric_name string, threshold double")
+    wanted = small_frame(spark, list(thresholds.items()), "metric_name string, threshold double")
     actual = long_metrics.select("metric_name", F.col("metric_value").alias("actual"))
     checks = wanted.join(actual, "metric_name", "left").select(
         "metric_name",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.joins import FeatureView, retrieve_features
 from riskloom.operators.selection import latest_per_key
 from riskloom.sources.paths import child_names, exists
+from riskloom.workspace import small_frame
 
 
 def _folder(root: str, name: str, version: str) -> str:
@@ -54,13 +55,13 @@ class FeatureStore:
     # -- catalog: a few rows per registration, kept as append-only parquet
 
     def _append(self, table: str, row: tuple, schema: str) -> None:
-        one = self.spark.createDataFrame([row], schema)
+        one = small_frame(self.spark, [row], schema)
         one.coalesce(1).write.mode("append").parquet(f"{self.root}/_catalog/{table}")
 
     def _catalog(self, table: str, schema: str) -> DataFrame:
         path = f"{self.root}/_catalog/{table}"
         if not exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return small_frame(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(path)
 
     def entities(self) -> DataFrame:

@@ -6,7 +6,7 @@ its keys: one narrow projection, no shuffle, as many rows as ``orders``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.constants import ENCOUNTER_SCHEMA, RISK_LABELS
@@ -20,74 +20,58 @@ DRIFT_START = "2000-06-01"
 CLASS_CENTRES = {"LOW": 1, "MEDIUM": 4, "HIGH": 7, "CRITICAL": 11}
 LOG_PREFIX = "serving"
 
-# fixed values: the derived domains
-DIAGNOSES = ["I10", "E11", "J44", "I25", "N18", "I50", "J18", "A41", "K92", "I63"]
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tenths(value: Column, by: int = 10) -> Column:
-    return value.cast("double") / F.lit(float(by))
+HASHES = """
+o_orderkey | o_custkey | o_orderdate AS ts
+(o_orderkey * 7919 + o_custkey * 31) % 1000 AS h1
+(o_orderkey * 104729 + 17) % 1000 AS h2
+(o_orderkey * 1299709 + o_custkey * 101) % 1000 AS h3
+(o_custkey * 15485863 + 7) % 1000 AS h4
+"""
+RISK = """
+CASE WHEN h1 < 400 THEN 0L WHEN h1 < 750 THEN 330L WHEN h1 < 930 THEN 660L ELSE 1000L END + h2 % 80 AS rf
+int(30 + h4 % 66) AS age
+"""
+MEASURES = """
+h1 | h2 | h3 | concat('P', o_custkey) AS patient_id | concat('E', o_orderkey) AS encounter_id | ts | age
+CASE WHEN h4 % 25 = 0 THEN 'Other' WHEN h4 % 2 = 0 THEN 'M' ELSE 'F' END AS gender
+double(160 + h3 % 250) / 10D AS bmi
+int(64 + age % 30 + (rf * 25) div 1000) AS heart_rate
+int(108 + age % 40 + (rf * 35) div 1000) AS systolic_bp
+int(70 + age % 20 + (rf * 15) div 1000) AS diastolic_bp
+double(366 + (rf * 12) div 1000 + h2 % 5) / 10D AS temperature
+int(15 + h3 % 3 + (rf * 8) div 1000) AS respiratory_rate
+double(985 - (rf * 80) div 1000 - h2 % 10) / 10D AS oxygen_saturation
+double(930 + (rf * 1200) div 1000 + h3 % 150) / 10D AS glucose_level
+double(90 + (rf * 250) div 1000 + h2 % 20) / 100D AS creatinine
+double(145 - (rf * 50) div 1000 - h3 % 10) / 10D AS hemoglobin
+double(65 + (rf * 100) div 1000 + h2 % 20) / 10D AS wbc_count
+array('I10','E11','J44','I25','N18','I50','J18','A41','K92','I63')[int(h3 % 10)] AS primary_diagnosis
+int(h3 % 3 + (rf * 3) div 1000) AS comorbidity_count
+CASE WHEN h2 < 450 THEN 'Emergency' WHEN h2 < 800 THEN 'Urgent' ELSE 'Elective' END AS admission_type
+CASE WHEN h4 % 20 < 8 THEN 'Private' WHEN h4 % 20 < 13 THEN 'Medicare' WHEN h4 % 20 < 18 THEN 'Medicaid' ELSE 'Uninsured' END AS insurance_type
+int(h2 % 2 + (rf * 2) div 1000) AS previous_admissions
+int(5 + h1 % 6) AS medication_count
+"""
+
+
+def _expressions(text: str) -> list[str]:
+    return [part.strip() for line in text.strip().splitlines() for part in line.split(" | ")]
 
 
 def encounters_from_orders(orders: DataFrame) -> DataFrame:
     """The encounter columns plus the hash columns h1..h3 that the variants need."""
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    hashed = orders.select(
-        key,
-        cust,
-        F.col("o_orderdate").alias("ts"),
-        ((key * 7919 + cust * 31) % 1000).alias("h1"),
-        ((key * 104729 + 17) % 1000).alias("h2"),
-        ((key * 1299709 + cust * 101) % 1000).alias("h3"),
-        ((cust * 15485863 + 7) % 1000).alias("h4"),
-    )
-    h1, h2, h3, h4 = (F.col(f"h{i}") for i in (1, 2, 3, 4))
-    risk = (
-        F.when(h1 < 400, 0).when(h1 < 750, 330).when(h1 < 930, 660).otherwise(1000) + h2 % 80
-    )
-    based = hashed.select("*", risk.cast("bigint").alias("rf"), (30 + h4 % 66).cast("int").alias("age"))
-
-    def risky(weight: int) -> Column:
-        return F.expr(f"(rf * {weight}) div 1000")
-
-    age, ins = F.col("age"), h4 % 20
-    raw = based.select(
-        "h1",
-        "h2",
-        "h3",
-        F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("patient_id"),
-        F.concat(F.lit("E"), F.col("o_orderkey").cast("string")).alias("encounter_id"),
-        "ts",
-        "age",
-        F.when(h4 % 25 == 0, "Other").when(h4 % 2 == 0, "M").otherwise("F").alias("gender"),
-        _tenths(160 + h3 % 250).alias("bmi"),
-        (64 + age % 30 + risky(25)).cast("int").alias("heart_rate"),
-        (108 + age % 40 + risky(35)).cast("int").alias("systolic_bp"),
-        (70 + age % 20 + risky(15)).cast("int").alias("diastolic_bp"),
-        _tenths(366 + risky(12) + h2 % 5).alias("temperature"),
-        (15 + h3 % 3 + risky(8)).cast("int").alias("respiratory_rate"),
-        _tenths(985 - risky(80) - h2 % 10).alias("oxygen_saturation"),
-        _tenths(930 + risky(1200) + h3 % 150).alias("glucose_level"),
-        _tenths(90 + risky(250) + h2 % 20, 100).alias("creatinine"),
-        _tenths(145 - risky(50) - h3 % 10).alias("hemoglobin"),
-        _tenths(65 + risky(100) + h2 % 20).alias("wbc_count"),
-        F.element_at(F.array(*[F.lit(d) for d in DIAGNOSES]), (h3 % 10 + 1).cast("int")).alias(
-            "primary_diagnosis"
-        ),
-        (h3 % 3 + risky(3)).cast("int").alias("comorbidity_count"),
-        F.when(h2 < 450, "Emergency").when(h2 < 800, "Urgent").otherwise("Elective").alias("admission_type"),
-        F.when(ins < 8, "Private")
-        .when(ins < 13, "Medicare")
-        .when(ins < 18, "Medicaid")
-        .otherwise("Uninsured")
-        .alias("insurance_type"),
-        (h2 % 2 + risky(2)).cast("int").alias("previous_admissions"),
-        (5 + h1 % 6).cast("int").alias("medication_count"),
+    return (
+        orders.selectExpr(*_expressions(HASHES))
+        .selectExpr("*", *_expressions(RISK))
+        .selectExpr(*_expressions(MEASURES))
+        .select("*", risk_score().alias("score"))
+        .select("*", risk_label("score").alias("risk_level"))
     )
-    return raw.select("*", risk_score().alias("score")).select("*", risk_label("score").alias("risk_level"))
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:

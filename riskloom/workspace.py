@@ -32,3 +32,16 @@ def written(spark: SparkSession, df, label: str):
     path = fresh_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str):
+    """A few driver-side rows as a local relation, whose size the optimizer knows."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    struct = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = [[row[i] for row in rows] for i in range(len(struct))]
+    arrays = [pa.array(values, type=field.type) for values, field in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema=struct)
