@@ -79,17 +79,16 @@ def time_bucket(ts: str, granularity: str) -> Column:
     return F.date_trunc(granularity, F.col(ts)).cast("timestamp_ntz")
 
 
-def bin_counts(
+def fine_counts(
     df: DataFrame,
     edges: Edges,
     categorical: list[str] = (),
     segments: list[str] = (),
     by: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """(by..., segment_column, segment_value, column, bin, n).
+    """(by..., _s0.., column, bin, n): rows counted once, on the finest grouping.
 
-    ``by`` are extra group columns such as a time window. Rows are counted once on the finest
-    grouping; the overall counts and those per segment column are sums of these counts.
+    A single grouping, so it also runs on a stream.
     """
     by = by or {}
     cells = [F.struct(F.lit(c).alias("column"), bin_of(c, edges).alias("bin")) for c in edges.numeric]
@@ -103,18 +102,33 @@ def bin_counts(
         F.inline(F.array(*cells)),
     )
     fine = [*by, *[f"_s{i}" for i in range(len(segments))], "column", "bin"]
-    counted = keyed.groupBy(*fine).agg(F.count("*").alias("n"))
-    whole = F.struct(F.lit(WHOLE).alias("segment_column"), F.lit(WHOLE).alias("segment_value"))
-    if not segments:
-        return counted.select(*by, F.inline(F.array(whole)), "column", "bin", "n")
-    views = [whole] + [
+    return keyed.groupBy(*fine).agg(F.count("*").alias("n"))
+
+
+def roll_up(fine: DataFrame, segments: list[str] = (), by: list[str] = ()) -> DataFrame:
+    """Overall counts and those per segment column, as sums of the fine counts."""
+    views = [F.struct(F.lit(WHOLE).alias("segment_column"), F.lit(WHOLE).alias("segment_value"))]
+    views += [
         F.struct(F.lit(s).alias("segment_column"), F.col(f"_s{i}").alias("segment_value"))
         for i, s in enumerate(segments)
     ]
-    spread = counted.select(*by, F.inline(F.array(*views)), "column", "bin", "n")
+    spread = fine.select(*by, F.inline(F.array(*views)), "column", "bin", "n")
+    if not segments:
+        return spread
     return spread.groupBy(*by, "segment_column", "segment_value", "column", "bin").agg(F.sum("n").alias("n"))
 
 
+def bin_counts(
+    df: DataFrame,
+    edges: Edges,
+    categorical: list[str] = (),
+    segments: list[str] = (),
+    by: dict[str, Column] | None = None,
+) -> DataFrame:
+    """(by..., segment_column, segment_value, column, bin, n); ``by`` holds e.g. a time window."""
+    return roll_up(fine_counts(df, edges, categorical, segments, by), segments, list(by or {}))
+
+
 def drift_from_counts(baseline: DataFrame, live: DataFrame, by: list[str] = ()) -> DataFrame:
     """All three metrics per (by..., segment, column) from two ``bin_counts`` frames.
 

@@ -5,6 +5,7 @@ from riskloom.plans import (  # noqa: F401  (importing registers)
     expression_queries,
     join_metric_queries,
     ml_queries,
+    stream_queries,
     table_queries,
 )
 from riskloom.plans.registry import ORACLES, QUERIES

@@ -296,16 +296,16 @@ def score_rules(spark, sf_dir):
     return scored.select("patient_id", "encounter_id", "risk_level", "predicted_risk")
 
 
-@query(
-    "score_with_fallback",
-    over_pn(
-        f"""SELECT pn.encounter_id, CASE WHEN pn.glucose_level IS NULL OR pn.bmi IS NULL OR pn.gender IS NULL
-              THEN 'ERROR' ELSE rescored END AS predicted_risk
-            FROM pn JOIN (
-              SELECT encounter_id, {label('(score + CASE WHEN h3 % 97 = 0 THEN 2 ELSE 0 END)')} AS rescored FROM full_p) r
-            ON pn.encounter_id = r.encounter_id"""
-    ),
+FALLBACK_SQL = over_pn(
+    f"""SELECT pn.encounter_id, CASE WHEN pn.glucose_level IS NULL OR pn.bmi IS NULL OR pn.gender IS NULL
+          THEN 'ERROR' ELSE rescored END AS predicted_risk
+        FROM pn JOIN (
+          SELECT encounter_id, {label('(score + CASE WHEN h3 % 97 = 0 THEN 2 ELSE 0 END)')} AS rescored FROM full_p) r
+        ON pn.encounter_id = r.encounter_id"""
 )
+
+
+@query("score_with_fallback", FALLBACK_SQL)
 def score_with_fallback(spark, sf_dir):
     gaps = X.patients_with_gaps(spark, sf_dir)
     required = [*C.RULE_INPUTS, "bmi", "gender"]

@@ -39,6 +39,7 @@ def read_dataset_version(spark: SparkSession, root: str, name: str, version: str
     return spark.read.parquet(_folder(root, name, version))
 
 
+_FIRST = "batch_id=-1"  # what create_view wrote; refreshes add batch_id=0, 1, ...
 _ENTITY_SCHEMA = "entity string, join_keys array<string>, description string"
 _VIEW_SCHEMA = (
     "view string, version string, entity string, ts_column string, tie_break array<string>, "
@@ -96,20 +97,39 @@ class FeatureStore:
         """Materialise a view under (name, version) and return it.
 
         One that exists is returned unchanged, so a repeated run does no work; a changed rule
-        needs a new version, or ``replace``.
+        needs a new version, or ``replace`` (which keeps rows added by refreshes).
         """
-        path = _folder(f"{self.root}/views", name, version)
-        present = exists(self.spark, path + "/_SUCCESS")
-        if not present or replace:
-            df.write.mode("overwrite").parquet(path)
+        path = self._view_path(name, version)
+        if replace or not exists(self.spark, f"{path}/{_FIRST}/_SUCCESS"):
+            df.write.mode("overwrite").parquet(f"{path}/{_FIRST}")
         known = (F.col("view") == name) & (F.col("version") == version)
         if self.views().filter(known).isEmpty():
             row = (name, version, entity, ts_column, list(tie_break), refresh, description)
             self._append("views", row, _VIEW_SCHEMA)
-        return self.spark.read.schema(df.schema).parquet(path) if not present or replace else self.read_view(name, version)
+        return self.read_view(name, version)
+
+    def _view_path(self, name: str, version: str) -> str:
+        return _folder(f"{self.root}/views", name, version)
 
     def read_view(self, name: str, version: str = "v1") -> DataFrame:
-        return self.spark.read.parquet(_folder(f"{self.root}/views", name, version))
+        return self.spark.read.parquet(self._view_path(name, version)).drop("batch_id")
+
+    def refresh_view(self, name: str, version: str, arrived: DataFrame, refresh: str | None = "1 minute"):
+        """Keep a view up to date from a stream of its rows; returns the running query.
+
+        Each micro-batch is a folder of its own beside the first write and replaces itself when
+        it is retried. ``refresh=None`` takes in what is there and ends.
+        """
+        path = self._view_path(name, version)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+        writer = arrived.writeStream.foreachBatch(write).option(
+            "checkpointLocation", f"{self.root}/_refresh/{name}/{version}"
+        )
+        writer = writer.trigger(processingTime=refresh) if refresh else writer.trigger(availableNow=True)
+        return writer.start()
 
     def feature_view(self, name: str, version: str = "v1", prefix: str = "") -> FeatureView:
         """A registered view as an input of the point-in-time join."""

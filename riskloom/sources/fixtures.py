@@ -89,13 +89,17 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def patients_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PN: P with NULL glucose, gender and BMI and with zero pressure on some rows."""
+    return patients_with_gaps_from(_orders(spark, sf_dir))
+
+
+def patients_with_gaps_from(orders: DataFrame) -> DataFrame:
     gaps = {
         "glucose_level": F.when(F.col("h2") % 50 != 0, F.col("glucose_level")),
         "gender": F.when(F.col("h1") % 50 != 0, F.col("gender")),
         "bmi": F.when(F.col("h3") % 50 != 0, F.col("bmi")),
         "systolic_bp": F.when(F.col("h3") % 97 == 0, F.lit(0)).otherwise(F.col("systolic_bp")),
     }
-    return encounters_from_orders(_orders(spark, sf_dir)).withColumns(gaps).select(*ENCOUNTER_SCHEMA)
+    return encounters_from_orders(orders).withColumns(gaps).select(*ENCOUNTER_SCHEMA)
 
 
 def baseline_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
