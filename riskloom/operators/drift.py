@@ -8,7 +8,6 @@ pre-aggregated shuffle; everything after that works on those counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,23 +52,28 @@ def fit_edges(baseline: DataFrame, numeric: list[str], method: str = "width", bi
     return Edges({c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(numeric)}, {}, bins)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def bin_of(name: str, edges: Edges) -> Column:
-    """The bin of a numeric column as text; NULL and NaN have the bin -1 to themselves."""
-    x = F.col(name).cast("double")
-    last = edges.bins - 1
+    """The bin of a numeric column, 0..bins-1; NULL and NaN have the bin -1 to themselves.
+
+    Written as SQL text: one parse per column instead of dozens of Column calls.
+    """
+    x, last = f"double({_quoted(name)})", edges.bins - 1
     if name in edges.cuts:
-        place = reduce(
-            lambda a, b: a + b, [F.when(x > F.lit(c), 1).otherwise(0) for c in edges.cuts[name]], F.lit(0)
-        )
+        place = " + ".join(["0", *[f"if({x} > {cut!r}D, 1, 0)" for cut in edges.cuts[name]]])
     else:
         lo, hi = edges.ranges[name]
-        if lo is None or lo == hi:
-            above = (x > F.lit(lo)) if lo is not None else F.lit(False)
-            place = F.when(above, F.lit(last)).otherwise(F.lit(0))
+        if lo is None:
+            place = "0"
+        elif lo == hi:
+            place = f"if({x} > {lo!r}D, {last}, 0)"
         else:
-            share = (x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(edges.bins))
-            place = F.floor(F.least(F.lit(float(last)), F.greatest(F.lit(0.0), share)))
-    return F.when(x.isNull() | F.isnan(x), F.lit(-1)).otherwise(place).cast("int").cast("string")
+            share = f"({x} - {lo!r}D) / {hi - lo!r}D * {float(edges.bins)!r}D"
+            place = f"int(floor(least({float(last)!r}D, greatest(0D, {share}))))"
+    return F.expr(f"if({x} IS NULL OR isnan({x}), -1, {place})")
 
 
 def time_bucket(ts: str, granularity: str) -> Column:
@@ -79,6 +83,10 @@ def time_bucket(ts: str, granularity: str) -> Column:
     return F.date_trunc(granularity, F.col(ts)).cast("timestamp_ntz")
 
 
+def _text(name: str) -> Column:
+    return F.coalesce(F.col(name).cast("string"), F.lit(NULL_BIN))
+
+
 def fine_counts(
     df: DataFrame,
     edges: Edges,
@@ -90,19 +98,28 @@ def fine_counts(
 
     A single grouping, so it also runs on a stream.
     """
-    by = by or {}
-    cells = [F.struct(F.lit(c).alias("column"), bin_of(c, edges).alias("bin")) for c in edges.numeric]
-    cells += [
-        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit(NULL_BIN)).alias("bin"))
-        for c in categorical
-    ]
-    keyed = df.select(
+    by, names = by or {}, [*edges.numeric, *categorical]
+    held = [f"_s{i}" for i in range(len(segments))]
+    binned = df.select(
         *[c.alias(n) for n, c in by.items()],
-        *[F.coalesce(F.col(s).cast("string"), F.lit(NULL_BIN)).alias(f"_s{i}") for i, s in enumerate(segments)],
-        F.inline(F.array(*cells)),
+        *[_text(s).alias(h) for s, h in zip(segments, held)],
+        *[bin_of(c, edges).alias(f"_n{i}") for i, c in enumerate(edges.numeric)],
+        *[_text(c).alias(f"_t{i}") for i, c in enumerate(categorical)],
+    )
+    # stack, not an exploded array of structs: it emits rows without boxing them
+    first_text = len(edges.numeric)
+    cells = [f"{i}, _n{i}, string(NULL)" for i in range(first_text)]
+    cells += [f"{first_text + i}, int(NULL), _t{i}" for i in range(len(categorical))]
+    keyed = binned.selectExpr(*by, *held, f"stack({len(names)}, {', '.join(cells)}) AS (_c, _number, _text)")
+    # column ids and int bins keep the grouping keys short; names come back on the counts
+    counted = keyed.groupBy(*by, *held, "_c", "_number", "_text").agg(F.count("*").alias("n"))
+    return counted.select(
+        *by,
+        *held,
+        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_c") + 1).alias("column"),
+        F.coalesce(F.col("_number").cast("string"), F.col("_text")).alias("bin"),
+        "n",
     )
-    fine = [*by, *[f"_s{i}" for i in range(len(segments))], "column", "bin"]
-    return keyed.groupBy(*fine).agg(F.count("*").alias("n"))
 
 
 def roll_up(fine: DataFrame, segments: list[str] = (), by: list[str] = ()) -> DataFrame:

@@ -90,17 +90,15 @@ def exact_quantiles(
 def _histogram(values: DataFrame, intervals: list[tuple[int, float, float]], bins: int) -> dict:
     cells = []
     for k, (i, lo, hi) in enumerate(intervals):
-        x = F.col(f"x{i}")
         # halves, so that a range wider than the largest double does not overflow
-        share = (x * 0.5 - F.lit(lo * 0.5)) / F.lit(hi * 0.5 - lo * 0.5)
-        bin_of = F.least(F.lit(bins - 1), F.floor(share * bins).cast("int"))
-        inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-        cells.append(F.when(inside, F.struct(F.lit(k).alias("k"), bin_of.alias("b"), x.alias("x"))))
+        share = f"(x{i} * 0.5D - {lo * 0.5!r}D) / {hi * 0.5 - lo * 0.5!r}D"
+        place = f"if(x{i} >= {lo!r}D AND x{i} <= {hi!r}D, int(least({bins - 1}, floor({share} * {bins}))), NULL)"
+        cells.append(f"{k}, {place}, x{i}")
     counted = (
-        values.select(F.explode(F.array(*cells)).alias("c"))
-        .filter(F.col("c").isNotNull())
-        .groupBy("c.k", "c.b")
-        .agg(F.count("*").alias("n"), F.min("c.x").alias("lo"), F.max("c.x").alias("hi"))
+        values.selectExpr(f"stack({len(intervals)}, {', '.join(cells)}) AS (k, b, x)")
+        .filter("b IS NOT NULL")
+        .groupBy("k", "b")
+        .agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
         .collect()
     )
     out: dict = {interval: [] for interval in intervals}

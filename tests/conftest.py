@@ -2,7 +2,6 @@ import sys
 from pathlib import Path
 
 import pytest
-from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
@@ -13,19 +12,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("riskloom-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.default.parallelism", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-        .getOrCreate()
+    from riskloom.session import local_session
+
+    session = local_session(
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        }
     )
-    session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
 

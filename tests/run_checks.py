@@ -1,5 +1,6 @@
 """python tests/run_checks.py [sf] [key ...]: compare registered queries with their SQL."""
 
+import os
 import sys
 import time
 import traceback
@@ -13,21 +14,18 @@ import checking  # noqa: E402
 from pyspark.sql import SparkSession  # noqa: E402
 
 import __spark_entry__ as entry_module  # noqa: E402
+from riskloom.session import local_session  # noqa: E402
 
 
 def main() -> int:
     scale = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{scale}"
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    if os.environ.get("PLAIN_SESSION"):  # the settings a stranger's session would have
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session()
     con = checking.connect(sf_dir)
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     failed = 0
