@@ -90,8 +90,9 @@ def exact_quantiles(
 def _histogram(values: DataFrame, intervals: list[tuple[int, float, float]], bins: int) -> dict:
     cells = []
     for k, (i, lo, hi) in enumerate(intervals):
-        # halves, so that a range wider than the largest double does not overflow
-        share = f"(x{i} * 0.5D - {lo * 0.5!r}D) / {hi * 0.5 - lo * 0.5!r}D"
+        share = f"(x{i} - {lo!r}D) / {hi - lo!r}D"
+        if math.isinf(hi - lo):  # wider than the largest double: work on halves
+            share = f"(x{i} * 0.5D - {lo * 0.5!r}D) / {hi * 0.5 - lo * 0.5!r}D"
         place = f"if(x{i} >= {lo!r}D AND x{i} <= {hi!r}D, int(least({bins - 1}, floor({share} * {bins}))), NULL)"
         cells.append(f"{k}, {place}, x{i}")
     counted = (

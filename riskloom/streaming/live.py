@@ -8,6 +8,7 @@ so a repeated batch replaces itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,23 +105,44 @@ def dedup(stream: DataFrame, ids: list[str]) -> DataFrame:
     return stream.dropDuplicatesWithinWatermark(ids)
 
 
+@contextmanager
+def _settled(batch: DataFrame):
+    """A batch of an aggregate, computed once and in full.
+
+    State is only saved when every partition has been read, and must not be updated twice by a
+    result that uses the batch twice.
+    """
+    batch = batch.persist()
+    try:
+        batch.count()
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def snapshot_sink(counts: DataFrame, path: str, shape: Callable[[DataFrame], DataFrame] | None = None):
     """Complete-mode results: each trigger's whole (small) table in its own folder."""
     target = _batches(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (shape(batch) if shape else batch).write.mode("overwrite").parquet(target(batch_id))
+        with _settled(batch) as counted:
+            (shape(counted) if shape else counted).write.mode("overwrite").parquet(target(batch_id))
 
     return counts.writeStream.outputMode("complete").foreachBatch(write)
 
 
+def _batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Batches that were written to the end."""
+    return [
+        int(name.split("=", 1)[1])
+        for name in child_names(spark, path)
+        if name.startswith("batch_id=") and "_SUCCESS" in child_names(spark, f"{path}/{name}")
+    ]
+
+
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """What the last finished trigger of a snapshot sink wrote."""
-    batches = [
-        int(n.split("=", 1)[1])
-        for n in child_names(spark, path)
-        if n.startswith("batch_id=") and "_SUCCESS" in child_names(spark, f"{path}/{n}")
-    ]
+    batches = _batch_ids(spark, path)
     if not batches:
         raise LookupError(f"no finished batch below {path}")
     return spark.read.parquet(_batches(path)(max(batches)))
@@ -160,17 +182,14 @@ class LiveDrift:
         target = _batches(path)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            if batch_id % every:
-                return
-            current = A.evaluate_alerts(R.to_long(self.metrics(batch)), rules, since, until)
-            earlier = [
-                f"{path}/{n}"
-                for n in child_names(self.spark, path)
-                if n.startswith("batch_id=") and int(n.split("=", 1)[1]) < batch_id
-            ]
-            if earlier:
-                current = A.new_alerts(current, self.spark.read.parquet(*earlier))
-            current.filter("fired").write.mode("overwrite").parquet(target(batch_id))
+            with _settled(batch) as counts:
+                if batch_id % every:
+                    return
+                current = A.evaluate_alerts(R.to_long(self.metrics(counts)), rules, since, until)
+                earlier = [f"{path}/batch_id={b}" for b in _batch_ids(self.spark, path) if b < batch_id]
+                if earlier:
+                    current = A.new_alerts(current, self.spark.read.parquet(*earlier))
+                current.filter("fired").write.mode("overwrite").parquet(target(batch_id))
 
         return self.counts(stream).writeStream.outputMode("complete").foreachBatch(write)
 
