@@ -28,17 +28,17 @@ def json_extract(
 ) -> DataFrame:
     """Typed columns from a JSON object column.
 
-    ``fields`` maps output name -> (exact JSON key, Spark type). The object is parsed once per
-    row, against a schema of just the wanted keys, and each text is cast with ``try_cast``, so a
+    ``fields`` maps output name -> (exact JSON key, Spark type). ``json_tuple`` reads all keys in
+    a single pass over the text; as a generator it is never copied into the expressions above
+    it, as ``from_json`` would be, once per field. Each text is cast with ``try_cast``, so a
     malformed value becomes NULL instead of failing the job.
     """
     keys = list(dict.fromkeys(key for key, _ in fields.values()))
-    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    parsed = df.withColumn("_payload", F.from_json(F.col(payload), schema))
-    return parsed.select(
-        *keep,
-        *[
-            F.col("_payload").getField(key).try_cast(kind).alias(name)
-            for name, (key, kind) in fields.items()
-        ],
+    texts = {key: f"_text{i}" for i, key in enumerate(keys)}
+    carried = [column if isinstance(column, Column) else F.col(column) for column in keep]
+    read = df.select(*carried, F.json_tuple(payload, *keys).alias(*texts.values()))
+    kept = read.columns[: len(carried)]
+    return read.select(
+        *kept,
+        *[F.col(texts[key]).try_cast(kind).alias(name) for name, (key, kind) in fields.items()],
     )
