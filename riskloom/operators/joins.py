@@ -13,6 +13,7 @@ from riskloom.workspace import small_frame, written
 
 HOT_KEY_ROWS = 2_000_000
 MAX_HOT_KEYS = 512
+MAX_RANGES = 20_000  # a limit on tasks, not on rows: ranges grow beyond it
 
 
 @dataclass
@@ -129,7 +130,7 @@ def _as_of_by_ranges(spine, views, keys, ts, n_rows: int, rows_per_range: int) -
     merged = marks.groupBy(*keys, "_t").agg(
         F.max("_side").alias("_asked"), *[F.max_by(f"_v{i}", f"_b{i}").alias(f"_v{i}") for i in spans]
     )
-    ranges = max(2, -(-n_rows // rows_per_range))
+    ranges = min(MAX_RANGES, max(2, -(-n_rows // rows_per_range)))
     ranged = merged.repartitionByRange(ranges, *keys, "_t").withColumn("_range", F.spark_partition_id())
     ranged = written(spine.sparkSession, ranged, "as-of-ranges")
 

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.constants import MODEL_CATEGORICAL, MODEL_NUMERIC, RAW_NUMERIC, SEGMENT_COLUMNS, TARGET
+from riskloom.constants import (
+    DRIFT_RULES,
+    MODEL_CATEGORICAL,
+    MODEL_NUMERIC,
+    RAW_NUMERIC,
+    SEGMENT_COLUMNS,
+    TARGET,
+)
 from riskloom.operators import alerts as A
 from riskloom.operators import drift as R
 from riskloom.operators import metrics as M
@@ -161,6 +168,25 @@ def drift_report(spark, sf_dir):
     return R.drift_report(base, live, MODEL_NUMERIC, [*MODEL_CATEGORICAL, TARGET])
 
 
+@query(
+    "drift_metric_view",
+    over_slices(
+        """SELECT "column", max(metric_value) AS worst FROM drift_long
+           WHERE metric = 'psi' AND segment_column <> '__all__' GROUP BY "column\"""",
+        drift_ctes("bl", "lv", _SEGMENTED, [TARGET], SEGMENT_COLUMNS),
+        LONG,
+    ),
+)
+def drift_metric_view(spark, sf_dir):
+    """The drift metrics as a table that SQL can query."""
+    base, live = X.baseline_slice(spark, sf_dir), X.live_slice(spark, sf_dir)
+    S.define_view(R.drift_report(base, live, _SEGMENTED, [TARGET], segments=SEGMENT_COLUMNS), "drift_metrics")
+    return spark.sql(
+        """SELECT column, max(metric_value) AS worst FROM drift_metrics
+           WHERE metric = 'psi' AND segment_column <> '__all__' GROUP BY column"""
+    )
+
+
 _PR_SLICES = """pbl AS (SELECT * FROM pr WHERE ts < TIMESTAMP '1999-01-01'),
 plv AS (SELECT * FROM pr WHERE ts >= TIMESTAMP '1999-01-01')"""
 
@@ -206,8 +232,7 @@ def performance_by_day(spark, sf_dir):
 # ------------------------------------------------------------------ alerts
 
 RULES = [
-    ("risk_level_drift", "risk_level", "psi", 0.25),
-    ("vital_signs_severity_drift", "vital_signs_severity", "psi", 0.20),
+    *DRIFT_RULES,
     ("heart_rate_drift", "heart_rate", "psi", 0.20),
     ("systolic_bp_drift", "systolic_bp", "jsd", 0.05),
     ("age_drift", "age", "psi", 0.20),
