@@ -11,7 +11,7 @@ def run_log_rollup(
 ) -> DataFrame:
     """Start / end / skip events to one row per run.
 
-    A run is FAILED when any step failed, SUCCESS when its final step has ended, else RUNNING;
+    The total duration is that of the steps that have ended. A run is FAILED when any step failed, SUCCESS when its final step has ended, else RUNNING;
     it has an end time once it is no longer running. Events are first combined per (run, step),
     before and after the shuffle, so the per-run map holds one entry per distinct step however
     many events a run logs.
@@ -29,7 +29,9 @@ def run_log_rollup(
     )
     seconds = (F.unix_micros(F.col("end_time").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1e6
     steps = steps.withColumn("status", F.coalesce("last_status", F.lit("running"))).withColumn(
-        "duration_s", F.floor(F.greatest(seconds, F.lit(0.0)) * 100 + 0.5) / 100.0
+        # a step that has not ended has no duration
+        "duration_s",
+        F.when(seconds.isNotNull(), F.floor(F.greatest(seconds, F.lit(0.0)) * 100 + 0.5) / 100.0),
     )
     ended = (F.col("step") == final_step) & F.col("end_time").isNotNull()
     entry = F.struct("step", F.struct("start_time", "end_time", "duration_s", "status").alias("info"))
@@ -39,7 +41,7 @@ def run_log_rollup(
         F.max("failed").alias("failed"),
         F.max(F.when(ended, 1).otherwise(0)).alias("final_ended"),
         F.count("*").alias("n_steps"),
-        F.sum("duration_s").alias("total_duration_s"),
+        F.coalesce(F.sum("duration_s"), F.lit(0.0)).alias("total_duration_s"),
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("step_map"),
     )
     status_of_run = (

@@ -29,6 +29,7 @@ def test_feature_frame_plan(spark, sf_dir):
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = QUERIES["filter_predicate"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_quantity,30" in plan and "EqualTo(l_returnflag,R)" in plan
 

@@ -104,6 +104,7 @@ def test_run_log(spark):
     out = run_log_rollup(frame, "run", "step", "kind", "at", "status", final_step="fit").orderBy("run_id").collect()
     assert [r.status for r in out] == ["SUCCESS", "FAILED", "RUNNING", "RUNNING"]
     assert [r.n_steps for r in out] == [2, 1, 1, 2]
-    assert [r.total_duration_s for r in out] == [8.0, 3.0, None, 0.0]
+    assert [r.total_duration_s for r in out] == [8.0, 3.0, 0.0, 0.0]
+    assert "duration_s" not in out[2].steps and '"duration_s":4.0' in out[0].steps
     assert out[2].end_time is None and out[0].end_time is not None
     assert '"status":"skipped"' in out[3].steps and '"status":"running"' in out[3].steps
