@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.quantiles import exact_quantiles
+from riskloom.operators.quantiles import column_stats, exact_quantiles
 
 BINS = 10
 SHARE_FLOOR = 1e-4
@@ -43,13 +43,8 @@ def fit_edges(baseline: DataFrame, numeric: list[str], method: str = "width", bi
         return Edges({}, {c: sorted({v for v in cuts if v is not None}) for c, cuts in found.items()}, bins)
     if method != "width":
         raise ValueError("method must be 'width' or 'quantile'")
-    aggregates = []
-    for i, name in enumerate(numeric):
-        value = F.col(name).cast("double")
-        value = F.when(~F.isnan(value), value)
-        aggregates += [F.min(value).alias(f"lo{i}"), F.max(value).alias(f"hi{i}")]
-    row = baseline.agg(*aggregates).head()
-    return Edges({c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(numeric)}, {}, bins)
+    stats = column_stats(baseline, list(numeric))
+    return Edges({c: (stats[c].lo, stats[c].hi) for c in numeric}, {}, bins)
 
 
 def _quoted(name: str) -> str:

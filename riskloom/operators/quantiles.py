@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +22,38 @@ def _ranks(n: int, probability: float) -> tuple[int, int, float]:
     return low, math.ceil(position), position - low
 
 
+@dataclass(frozen=True)
+class ColumnStats:
+    """What one scan tells about a column; NULL and NaN are left out."""
+
+    n: int = 0
+    lo: float | None = None
+    hi: float | None = None
+    mean: float | None = None
+    variance: float | None = None
+
+
+def column_stats(df: DataFrame, columns: list[str]) -> dict[str, ColumnStats]:
+    """Count, range, mean and population variance of many columns in one scan.
+
+    The columns are stacked to (column, value) and aggregated per column before the shuffle; an
+    aggregate of several functions for each of many columns would be too large to compile.
+    """
+    values = df.select(*[_valid(c).alias(f"x{i}") for i, c in enumerate(columns)])
+    cells = ", ".join(f"{i}, x{i}" for i in range(len(columns)))
+    rows = (
+        values.selectExpr(f"stack({len(columns)}, {cells}) AS (k, x)")
+        .filter("x IS NOT NULL")
+        .groupBy("k")
+        .agg(F.count("*").alias("n"), F.min("x"), F.max("x"), F.avg("x"), F.var_pop("x"))
+        .collect()
+    )
+    found = {columns[row["k"]]: ColumnStats(*row[1:]) for row in rows}
+    return {c: found.get(c, ColumnStats()) for c in columns}
+
+
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float]
+    df: DataFrame, columns: list[str], probabilities: list[float], stats: dict[str, ColumnStats] | None = None
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles, NULL and NaN left out.
 
@@ -31,18 +62,13 @@ def exact_quantiles(
     bins with their smallest and largest value, and the bin that holds the rank is the next
     interval. Every pass is one scan with a pre-aggregated grouping and returns at most
     HISTOGRAM_ROWS rows for all columns together; two or three passes settle ordinary data, and
-    an interval always loses at least one distinct value per pass.
+    an interval always loses at least one distinct value per pass. ``stats`` may hand in the
+    result of an earlier first scan.
     """
     columns = list(dict.fromkeys(columns))
     values = df.select(*[_valid(c).alias(f"x{i}") for i, c in enumerate(columns)])
-    first = values.agg(
-        *[
-            f(f"x{i}").alias(f"{tag}{i}")
-            for i in range(len(columns))
-            for f, tag in ((F.count, "n"), (F.min, "lo"), (F.max, "hi"))
-        ]
-    ).head()
-    bounds = [(first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]) for i in range(len(columns))]
+    stats = stats or column_stats(df, columns)
+    bounds = [(stats[c].n, stats[c].lo, stats[c].hi) for c in columns]
 
     settled: dict[tuple[int, int], float] = {}
     open_ranks: dict[tuple[int, int], tuple[float, float, int]] = {}
