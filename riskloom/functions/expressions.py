@@ -222,7 +222,7 @@ def version_stamp(ts) -> Column:
 
 
 def hash_bucket(keys: list, buckets: int) -> Column:
-    """Repeatable bucket 0..buckets-1 from the md5 of the keys (a third of it, 32 bits)."""
+    """Repeatable bucket 0..buckets-1 from the first 32 bits of the md5 of the keys."""
     text = F.concat_ws("|", *[_column(k).cast("string") for k in keys])
     head = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
     return F.pmod(head, F.lit(buckets))

@@ -27,7 +27,8 @@ def run_log_rollup(
         ).alias("last_status"),
         F.max(F.when((F.col(kind) == "end") & (F.col(status) == "failed"), 1).otherwise(0)).alias("failed"),
     )
-    seconds = (F.unix_micros(F.col("end_time").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1e6
+    begun, ended_at = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("start_time", "end_time"))
+    seconds = (ended_at - begun) / 1e6
     steps = steps.withColumn("status", F.coalesce("last_status", F.lit("running"))).withColumn(
         # a step that has not ended has no duration
         "duration_s",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.constants import ENCOUNTER_SCHEMA, MODEL_CATEGORICAL, MODEL_NUMERIC, RAW_CATEGORICAL
-from riskloom.constants import RAW_NUMERIC
+from riskloom.constants import ENCOUNTER_SCHEMA, MODEL_CATEGORICAL, MODEL_NUMERIC, RAW_NUMERIC
 
 D = "CAST({} AS DOUBLE)".format
 
@@ -168,5 +167,3 @@ def over_slices(body: str, *more: str) -> str:
 def as_doubles(columns=RAW_NUMERIC) -> str:
     return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
 
-
-RAW_TEXT = ", ".join(RAW_CATEGORICAL)
