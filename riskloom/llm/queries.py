@@ -56,3 +56,10 @@ def op10_warc_round_trip(spark, sf_dir):
     from riskloom.llm.warc import archive_round_trip
 
     return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark, sf_dir):
+    from riskloom.llm.contamination import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key", "items")

@@ -104,7 +104,8 @@ def contaminated(rows, items, n=13):
                 if s in owners:
                     hit[i : i + size] = [True] * size
                     found |= owners[s]
-        names = sorted(str(x) for x in found if x is not None)
+        found.discard(None)  # neither counted nor named
+        names = sorted(str(x) for x in found)
         out.append((d, len(w), sum(hit), len(found), sha(",".join(names)), sum(hit) > 0 and 20 * sum(hit) >= len(w)))
     return out
 
