@@ -63,3 +63,10 @@ def op7_decontamination(spark, sf_dir):
     from riskloom.llm.contamination import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key", "items")
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark, sf_dir):
+    from riskloom.llm.repeats import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
