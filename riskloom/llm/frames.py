@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.arrays import NULL_ID
+from riskloom.workspace import fresh_path
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -29,3 +30,10 @@ def named(frame: DataFrame, key: str = "row_key", name: str = "doc_id") -> DataF
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def stored(spark, frame: DataFrame, label: str) -> DataFrame:
+    """Cut lineage like ``written``, compressed harder: for tables that hold text or hashes."""
+    path = fresh_path(spark, label)
+    frame.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

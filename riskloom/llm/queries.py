@@ -70,3 +70,10 @@ def op1_substring_dedup(spark, sf_dir):
     from riskloom.llm.repeats import substring_dedup
 
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op4_suffix_array_dedup")
+def op4_suffix_array_dedup(spark, sf_dir):
+    from riskloom.llm.byte_dedup import byte_dedup
+
+    return byte_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
