@@ -77,3 +77,10 @@ def op4_suffix_array_dedup(spark, sf_dir):
     from riskloom.llm.byte_dedup import byte_dedup
 
     return byte_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark, sf_dir):
+    from riskloom.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
