@@ -335,7 +335,8 @@ class _Join:
 
 
 def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int = 64, tile: int = 4096) -> DataFrame:
-    """One row per document: ``n_shingles``, ``component_id`` (the smallest doc_id it is linked with), ``n_links``.
+    """One row per document: ``n_shingles``, ``component_id`` (the smallest doc_id it is linked with), ``n_links`` and
+    ``component`` (one number for each component, also where ids repeat).
 
     ``n_links`` counts the verified links of the document's set that were needed to join components.
     """
@@ -349,5 +350,7 @@ def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int =
     degrees = stored(docs.sparkSession, ends.groupBy("point").agg(F.count("*").alias("n_links")), "degrees")
     out = rooted.join(least, "root").join(degrees, "point", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("row_key"))
-    out = out.withColumn("component_id", own).select("row_key", "text_key", "n_shingles", "component_id", "n_links")
+    # sets without shingles share a point but no component
+    alone = F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.xxhash64("row_key", "text_key"))
+    out = out.select("row_key", "text_key", "n_shingles", own.alias("component_id"), "n_links", alone.alias("component"))
     return named(named(out), "component_id", "component_id")

@@ -83,4 +83,18 @@ def op4_suffix_array_dedup(spark, sf_dir):
 def op3_jaccard_join(spark, sf_dir):
     from riskloom.llm.near_duplicates import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
+
+
+@query("op5_mixing")
+def op5_mixing(spark, sf_dir):
+    from riskloom.llm.mixing import mixed_sample
+
+    return mixed_sample(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -200,3 +200,90 @@ def warc(rows):
         name = base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
         out.append((p, len(h.encode()), name, "revisit" if again else "response", owner[h] if again else None))
     return out
+
+
+def rake(cells, temper=0.7, sweeps=30, tolerance=1e-6):
+    """op5: weights of {(source, lang, topic): tokens}."""
+    total = sum(cells.values()) or 1
+    weight = {c: t / total for c, t in cells.items()}
+    target = []
+    for axis in range(3):
+        have = defaultdict(int)
+        for c, t in cells.items():
+            have[c[axis]] += t
+        raw = {k: v**temper for k, v in have.items() if v}
+        target.append({k: v / sum(raw.values()) for k, v in raw.items()})
+    for _ in range(sweeps):
+        worst = 0
+        for axis in range(3):
+            now = defaultdict(float)
+            for c, w in weight.items():
+                now[c[axis]] += w
+            factor = {k: target[axis][k] / v for k, v in now.items() if v > 0}
+            weight = {c: w * factor.get(c[axis], 1) for c, w in weight.items()}
+            worst = max([worst, *(abs(f - 1) for f in factor.values())])
+        if worst <= tolerance:
+            break
+    return weight, target
+
+
+def probabilities(cells, weight, keep=0.5):
+    budget = keep * sum(cells.values())
+    low, high = 0.0, 1e30
+    for _ in range(300):
+        scale = (low + high) / 2
+        if sum(min(t, scale * weight[c]) for c, t in cells.items()) < budget:
+            low = scale
+        else:
+            high = scale
+    return {c: min(1, high * weight[c] / t) if t else 1 for c, t in cells.items()}
+
+
+def form(text):
+    digits, lines = sum(c in "0123456789" for c in text), text.count("\n")
+    return "numbers" if 20 * digits > len(text) else "lines" if 80 * lines > len(text) else "prose"
+
+
+def mixed(rows, keep=0.5):
+    """op5 for rows of (doc_id, text, lang, source): {doc_id: probability} and the sampled ids."""
+    import struct
+
+    import xxhash
+
+    of, cells = [], defaultdict(int)
+    for d, text, lang, source in rows:
+        cell = (source or "", lang or "", form(text or ""))
+        of.append((d, cell))
+        cells[cell] += len(WORD.findall(text or ""))
+    chance = probabilities(cells, rake(cells)[0], keep)
+
+    def draw(d):
+        seed = 42 if d is None else xxhash.xxh64(struct.pack("<q", d), seed=42).intdigest()
+        return (xxhash.xxh64(b"mixing", seed=seed).intdigest() % (1 << 53)) / (1 << 53)
+
+    return [(d, chance[cell]) for d, cell in of if draw(d) < chance[cell]]
+
+
+def pipeline(rows, items):
+    """Rows of (doc_id, text, lang, source) through all stages; ids and texts before the last, and what that samples."""
+    base = {i: r[-1] for i, r in enumerate(base_quality([(i, r[1]) for i, r in enumerate(rows)]))}
+    common = boilerplate([(i, r[3], r[1]) for i, r in enumerate(rows)])
+    rows = [r for i, r in enumerate(rows) if not base[i] and common[i] <= 0.8 * len(WORD.findall(r[1] or ""))]
+    holders = defaultdict(set)
+
+    def norm(line):
+        return low(line.strip("\x20\t\n\x0b\x0c\r"))
+
+    for r in rows:
+        for line in (r[1] or "").split("\n"):
+            if len(norm(line)) >= 20:
+                holders[norm(line)].add(r[0])
+    rows = [
+        (r[0], "\n".join(x for x in (r[1] or "").split("\n") if len(holders.get(norm(x), ())) < 3 or max(holders[norm(x)]) == r[0]), *r[2:])
+        for r in rows
+    ]
+    linked = components([r[:2] for r in rows])
+    rows = [r for r, c in zip(rows, linked) if c[2] == r[0]]
+    dirty = {r[0] for r in contaminated([r[:2] for r in rows], items) if r[5]}
+    rows = [r for r in rows if r[0] not in dirty]
+    return rows, mixed(rows)
