@@ -199,8 +199,8 @@ def risk_label(score) -> Column:
 # ------------------------------------------------------------------ ids, hashes, stamps
 
 
-def surrogate_id(keys: list, prefix: str, length: int = 8) -> Column:
-    """Prefix plus the first ``length`` upper-case hex digits of the md5 of the keys.
+def surrogate_id(keys: list, prefix: str, length: int = 32) -> Column:
+    """Prefix plus the upper-case hex digits of the md5 of the keys, all 128 bits unless asked for fewer.
 
     A function of its keys, so a retried task writes the same id again.
     """

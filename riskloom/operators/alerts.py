@@ -37,6 +37,32 @@ def evaluate_alerts(metrics: DataFrame, rules: DataFrame, since: Column, until:
     )
 
 
+def watched_metrics(
+    baseline: DataFrame,
+    live: DataFrame,
+    rules: list[tuple],
+    numeric: list[str],
+    categorical: list[str],
+    since: Column,
+    until: Column,
+    granularity: str,
+    ts: str = "ts",
+) -> DataFrame:
+    """The long drift report that a list of rules needs: only its columns, only its time range.
+
+    The range is a plain comparison on the event time, so it reaches the scan. It holds every window
+    that starts in [since, until) whole; ``evaluate_alerts`` leaves out a window cut by ``since``.
+    """
+    from riskloom.operators.drift import drift_report
+
+    wanted = {column for _, column, _, _ in rules}
+    end = until + F.expr(f"INTERVAL 1 {granularity}")
+    recent = live.filter((F.col(ts) >= since) & (F.col(ts) < end))
+    return drift_report(
+        baseline, recent, [c for c in numeric if c in wanted], [c for c in categorical if c in wanted], granularity=granularity, ts=ts
+    )
+
+
 def alert_history(history: DataFrame, since: Column, names: list[str] | None = None, at: str = "triggered_at") -> DataFrame:
     """Evaluations since a time, newest first, for all alerts or the named ones."""
     kept = history.filter(F.col(at) >= since)

@@ -7,9 +7,10 @@ pre-aggregated shuffle; everything after that works on those counts.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.quantiles import column_stats, exact_quantiles
@@ -43,7 +44,8 @@ def fit_edges(baseline: DataFrame, numeric: list[str], method: str = "width", bi
         return Edges({}, {c: sorted({v for v in cuts if v is not None}) for c, cuts in found.items()}, bins)
     if method != "width":
         raise ValueError("method must be 'width' or 'quantile'")
-    stats = column_stats(baseline, list(numeric))
+    finite = [F.when(F.abs(F.col(c).cast("double")) < math.inf, F.col(c).cast("double")).alias(c) for c in numeric]
+    stats = column_stats(baseline.select(*finite), list(numeric))
     return Edges({c: (stats[c].lo, stats[c].hi) for c in numeric}, {}, bins)
 
 
@@ -54,11 +56,13 @@ def _quoted(name: str) -> str:
 def bin_of(name: str, edges: Edges) -> Column:
     """The bin of a numeric column, 0..bins-1; NULL and NaN have the bin -1 to themselves.
 
+    Ranges are those of the finite values; an infinite value falls into the first or last bin.
+
     Written as SQL text: one parse per column instead of dozens of Column calls.
     """
     x, last = f"double({_quoted(name)})", edges.bins - 1
     if name in edges.cuts:
-        place = " + ".join(["0", *[f"if({x} > {cut!r}D, 1, 0)" for cut in edges.cuts[name]]])
+        place = " + ".join(["0", *[f"if({x} > double('{cut!r}'), 1, 0)" for cut in edges.cuts[name]]])
     else:
         lo, hi = edges.ranges[name]
         if lo is None:
@@ -67,6 +71,8 @@ def bin_of(name: str, edges: Edges) -> Column:
             place = f"if({x} > {lo!r}D, {last}, 0)"
         else:
             share = f"({x} - {lo!r}D) / {hi - lo!r}D * {float(edges.bins)!r}D"
+            if math.isinf(hi - lo):  # wider than the largest double: work on halves
+                share = f"({x} * 0.5D - {lo * 0.5!r}D) / {hi * 0.5 - lo * 0.5!r}D * {float(edges.bins)!r}D"
             place = f"int(floor(least({float(last)!r}D, greatest(0D, {share}))))"
     return F.expr(f"if({x} IS NULL OR isnan({x}), -1, {place})")
 
@@ -89,9 +95,11 @@ def fine_counts(
     segments: list[str] = (),
     by: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """(by..., _s0.., column, bin, n): rows counted once, on the finest grouping.
+    """(by..., segment_column, segment_value, column, bin, n): rows counted once.
 
-    A single grouping, so it also runs on a stream.
+    A row is stacked by (segment column, column) before it is counted, so the cost grows with the
+    number of segment columns, not with the product of their values. A single grouping, so it also
+    runs on a stream.
     """
     by, names = by or {}, [*edges.numeric, *categorical]
     held = [f"_s{i}" for i in range(len(segments))]
@@ -105,31 +113,25 @@ def fine_counts(
     first_text = len(edges.numeric)
     cells = [f"{i}, _n{i}, string(NULL)" for i in range(first_text)]
     cells += [f"{first_text + i}, int(NULL), _t{i}" for i in range(len(categorical))]
-    keyed = binned.selectExpr(*by, *held, f"stack({len(names)}, {', '.join(cells)}) AS (_c, _number, _text)")
+    if segments:
+        views = ["-1, string(NULL)", *[f"{i}, {h}" for i, h in enumerate(held)]]
+        spread = [name for name in binned.columns if name not in held]
+        binned = binned.selectExpr(*[_quoted(c) for c in spread], f"stack({len(views)}, {', '.join(views)}) AS (_k, _value)")
+    else:
+        binned = binned.selectExpr("*", "-1 AS _k", "string(NULL) AS _value")
+    keyed = binned.selectExpr(*[_quoted(c) for c in by], "_k", "_value", f"stack({len(names)}, {', '.join(cells)}) AS (_c, _number, _text)")
     # column ids and int bins keep the grouping keys short; names come back on the counts
-    counted = keyed.groupBy(*by, *held, "_c", "_number", "_text").agg(F.count("*").alias("n"))
+    counted = keyed.groupBy(*by, "_k", "_value", "_c", "_number", "_text").agg(F.count("*").alias("n"))
     return counted.select(
         *by,
-        *held,
+        F.element_at(F.array(*[F.lit(n) for n in [WHOLE, *segments]]), F.col("_k") + 2).alias("segment_column"),
+        F.coalesce("_value", F.lit(WHOLE)).alias("segment_value"),
         F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_c") + 1).alias("column"),
         F.coalesce(F.col("_number").cast("string"), F.col("_text")).alias("bin"),
         "n",
     )
 
 
-def roll_up(fine: DataFrame, segments: list[str] = (), by: list[str] = ()) -> DataFrame:
-    """Overall counts and those per segment column, as sums of the fine counts."""
-    views = [F.struct(F.lit(WHOLE).alias("segment_column"), F.lit(WHOLE).alias("segment_value"))]
-    views += [
-        F.struct(F.lit(s).alias("segment_column"), F.col(f"_s{i}").alias("segment_value"))
-        for i, s in enumerate(segments)
-    ]
-    spread = fine.select(*by, F.inline(F.array(*views)), "column", "bin", "n")
-    if not segments:
-        return spread
-    return spread.groupBy(*by, "segment_column", "segment_value", "column", "bin").agg(F.sum("n").alias("n"))
-
-
 def bin_counts(
     df: DataFrame,
     edges: Edges,
@@ -138,41 +140,58 @@ def bin_counts(
     by: dict[str, Column] | None = None,
 ) -> DataFrame:
     """(by..., segment_column, segment_value, column, bin, n); ``by`` holds e.g. a time window."""
-    return roll_up(fine_counts(df, edges, categorical, segments, by), segments, list(by or {}))
+    return fine_counts(df, edges, categorical, segments, by)
+
+
+def _terms(p: Column, q: Column) -> dict[str, Column]:
+    """What one bin adds to each metric."""
+    middle = p + q
+    return {
+        "psi": (p - q) * F.log(p / q),
+        "kl": p * F.log(p / q),
+        "jsd": 0.5 * p * F.log(2 * p / middle) + 0.5 * q * F.log(2 * q / middle),
+    }
 
 
 def drift_from_counts(baseline: DataFrame, live: DataFrame, by: list[str] = ()) -> DataFrame:
     """All three metrics per (by..., segment, column) from two ``bin_counts`` frames.
 
     ``by`` names group columns only the live side has. Bins missing on one side count as zero.
+    Each side is read once: both are laid together and shuffled once by (segment, column). The
+    baseline's bins aren't copied into every window; their sum at the floor share is a constant
+    of the (segment, column), and a live bin adds how it differs from that.
     """
     shared = ["segment_column", "segment_value", "column"]
-    group = [*by, *shared]
-    base_total = baseline.groupBy(*shared).agg(F.sum("n").alias("_q"))
-    totals = live.groupBy(*group).agg(F.sum("n").alias("_p")).join(base_total, shared, "left")
-    zero = F.lit(0).cast("bigint")
-    expected = baseline.join(totals, shared).select(
-        *group, "bin", "_p", "_q", F.col("n").alias("_qn"), zero.alias("_pn")
-    )
-    seen = live.join(totals, group).select(*group, "bin", "_p", "_q", zero.alias("_qn"), F.col("n").alias("_pn"))
-    cells = (
-        expected.unionByName(seen)
-        .groupBy(*group, "bin", "_p", "_q")
-        .agg(F.sum("_qn").alias("_qn"), F.sum("_pn").alias("_pn"))
-    )
+    kinds = dict(live.dtypes)
+    ours = baseline.select(*[F.lit(None).cast(kinds[c]).alias(c) for c in by], *shared, "bin", "n", F.lit(True).alias("_base"))
+    rows = ours.unionByName(live.select(*by, *shared, "bin", "n", F.lit(False).alias("_base")))
+    base_n = F.when(F.col("_base"), F.col("n"))
+    whole, cell = Window.partitionBy(*shared), Window.partitionBy(*shared, "bin")
+    group = Window.partitionBy(*by, *shared, "_base")
+    rows = rows.select(
+        *by, *shared, "_base", "n",
+        F.sum(base_n).over(whole).alias("_q"),
+        F.sum(base_n).over(cell).alias("_qn"),
+        F.sum("n").over(group).alias("_p"),
+    )
 
     def share(n: str, total: str) -> Column:
         ratio = F.try_divide(F.col(n).cast("double"), F.col(total).cast("double"))
         return F.greatest(F.lit(SHARE_FLOOR), F.coalesce(ratio, F.lit(0.0)))
 
-    shares = cells.select(*group, share("_pn", "_p").alias("p"), share("_qn", "_q").alias("q"))
-    p, q = F.col("p"), F.col("q")
-    return shares.groupBy(*group).agg(
-        F.round(F.sum((p - q) * F.log(p / q)), 6).alias("psi"),
-        F.round(F.sum(p * F.log(p / q)), 6).alias("kl"),
-        F.round(
-            0.5 * F.sum(p * F.log(2 * p / (p + q))) + 0.5 * F.sum(q * F.log(2 * q / (p + q))), 6
-        ).alias("jsd"),
+    shares = rows.select(*by, *shared, "_base", "_qn", share("n", "_p").alias("p"), share("_qn", "_q").alias("q"))
+    absent, present = _terms(F.lit(SHARE_FLOOR), F.col("q")), _terms(F.col("p"), F.col("q"))
+    known = F.col("_qn").isNotNull()
+    added = {
+        m: F.when(F.col("_base"), absent[m]).otherwise(present[m] - F.when(known, absent[m]).otherwise(0.0)) for m in METRICS
+    }
+    cells = shares.select(*by, *shared, "_base", *[c.alias(m) for m, c in added.items()])
+    constants = [F.coalesce(F.sum(F.when(F.col("_base"), F.col(m))).over(whole), F.lit(0.0)).alias(f"_{m}") for m in METRICS]
+    return (
+        cells.select("*", *constants)
+        .filter(~F.col("_base"))
+        .groupBy(*by, *shared)
+        .agg(*[F.round(F.max(f"_{m}") + F.sum(m), 6).alias(m) for m in METRICS])
     )
 
 

@@ -7,20 +7,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskloom.workspace import small_frame, written
+from riskloom.workspace import written
 
 HOT_KEY_ROWS = 2_000_000
-MAX_HOT_KEYS = 512
-MAX_RANGES = 20_000  # a limit on tasks, not on rows: ranges grow beyond it
 
 
 @dataclass
 class FeatureView:
     """A feature frame with its event time.
 
-    ``tie_break`` orders rows of one key that share an event time; the greatest wins.
+    ``tie_break`` orders rows of one key that share an event time; the greatest wins. The values
+    themselves follow it, so the order is total and the answer never depends on partitioning.
     """
 
     frame: DataFrame
@@ -32,6 +30,12 @@ class FeatureView:
     def output(self, name: str) -> str:
         return f"{self.prefix}{name}"
 
+    @property
+    def order(self) -> list[str]:
+        kinds = dict(self.frame.dtypes)
+        rest = [c for c in self.values if c not in self.tie_break and "map<" not in kinds.get(c, "map<")]
+        return [*self.tie_break, *rest]
+
 
 def _all_set(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
@@ -39,7 +43,7 @@ def _all_set(columns: list[str]) -> Column:
 
 def _typed_nulls(view: FeatureView) -> tuple[str, str]:
     """SQL types of a view's value struct and of its tie-break struct."""
-    ties = view.frame.select(*[F.col(c).alias(f"b{i}") for i, c in enumerate(view.tie_break)])
+    ties = view.frame.select(*[F.col(c).alias(f"b{i}") for i, c in enumerate(view.order)])
     values = view.frame.select(*view.values)
     return values.schema.simpleString(), ties.schema.simpleString()
 
@@ -53,11 +57,11 @@ def _timeline(spine: DataFrame | None, views: list[FeatureView], keys: list[str]
         for i, (view, (value_type, tie_type)) in enumerate(zip(views, kinds)):
             if i == owner:
                 out.append(F.struct(*view.values).alias(f"_v{i}"))
-                ties = [F.col(c).alias(f"b{j}") for j, c in enumerate(view.tie_break)]
+                ties = [F.col(c).alias(f"b{j}") for j, c in enumerate(view.order)]
                 out.append((F.struct(*ties) if ties else F.lit(0)).alias(f"_b{i}"))
             else:
                 out.append(F.lit(None).cast(value_type).alias(f"_v{i}"))
-                out.append(F.lit(None).cast(tie_type if view.tie_break else "int").alias(f"_b{i}"))
+                out.append(F.lit(None).cast(tie_type if view.order else "int").alias(f"_b{i}"))
         return out
 
     spine_type = None if spine is None else spine.schema.simpleString()
@@ -99,21 +103,14 @@ def _outputs(views: list[FeatureView]) -> list[Column]:
     ]
 
 
-def hot_keys(frames: list[DataFrame], keys: list[str], at_least: int, at_most: int = MAX_HOT_KEYS) -> list:
-    """Keys holding more than ``at_least`` rows over all frames, largest first, ``at_most`` of them.
+def hot_keys(frames: list[DataFrame], keys: list[str], at_least: int) -> DataFrame:
+    """(keys..., _n) of all keys that hold more than ``at_least`` rows over all frames.
 
-    Keys beyond ``at_most`` each hold under 1/at_most of the rows; they need no special care.
+    A table in the shared folder: whether it is broadcast is left to Spark, which knows its size.
     """
     counted = reduce(DataFrame.unionByName, [f.select(*keys) for f in frames])
-    return (
-        counted.filter(_all_set(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > at_least)
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(at_most)
-        .collect()
-    )
+    counted = counted.filter(_all_set(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
+    return written(counted.sparkSession, counted.filter(F.col("_n") > at_least), "hot-keys")
 
 
 def _as_of_by_ranges(spine, views, keys, ts, n_rows: int, rows_per_range: int) -> DataFrame:
@@ -123,14 +120,15 @@ def _as_of_by_ranges(spine, views, keys, ts, n_rows: int, rows_per_range: int) -
     (key, time), so a large key spans many ranges; each range looks back within itself, and
     the last feature row of the ranges before it is carried in. The carry frame has one row
     per (range, key), at most ranges + hot keys. The ranged rows are written out once: both uses
-    of a range number must see the same numbering, also after an executor is lost.
+    of a range number must see the same numbering, also after an executor is lost. There are as
+    many ranges as keep each at about ``rows_per_range``.
     """
     spans = range(len(views))
     marks = _timeline(spine.select(*keys, ts).distinct(), views, keys, ts)
     merged = marks.groupBy(*keys, "_t").agg(
         F.max("_side").alias("_asked"), *[F.max_by(f"_v{i}", f"_b{i}").alias(f"_v{i}") for i in spans]
     )
-    ranges = min(MAX_RANGES, max(2, -(-n_rows // rows_per_range)))
+    ranges = max(2, -(-n_rows // rows_per_range))
     ranged = merged.repartitionByRange(ranges, *keys, "_t").withColumn("_range", F.spark_partition_id())
     ranged = written(spine.sparkSession, ranged, "as-of-ranges")
 
@@ -163,17 +161,20 @@ def retrieve_features(
     """Point-in-time join: beside each spine row, the newest row of every view not after it.
 
     Left-outer: spine rows without an earlier feature row, or without key or time, get NULLs.
-    A count per key finds the keys with more than ``hot_rows`` rows; those take the range path,
-    all others share one shuffle. ``hot_rows=None`` skips the count.
+    A count per key finds the keys with more than ``hot_rows`` rows, however many; those take the
+    range path, all others share one shuffle. Both give the same rows. ``hot_rows=None`` skips the
+    count.
     """
+    names = [*spine.columns, *[v.output(c) for v in views for c in v.values]]
+    twice = sorted({n for n in names if [x.lower() for x in names].count(n.lower()) > 1})
+    if twice:
+        raise ValueError(f"columns {twice} occur twice in the result: give the views prefixes")
     usable = spine.filter(_all_set([*keys, spine_ts]))
     unusable = spine.filter(~_all_set([*keys, spine_ts]))
-    hot = [] if hot_rows is None else hot_keys([usable, *[v.frame for v in views]], keys, hot_rows)
-    if hot:
-        # at most MAX_HOT_KEYS rows
-        key_schema = T.StructType([T.StructField(k, spine.schema[k].dataType) for k in keys])
-        names = small_frame(spine.sparkSession, [tuple(row[k] for k in keys) for row in hot], key_schema)
-        names = F.broadcast(names)
+    hot = None if hot_rows is None else hot_keys([usable, *[v.frame for v in views]], keys, hot_rows)
+    n_rows = hot and hot.agg(F.sum("_n")).first()[0]
+    if n_rows:
+        names = hot.drop("_n")
 
         def part(frame: DataFrame, how: str) -> DataFrame:
             return frame.join(names, keys, how)
@@ -181,7 +182,6 @@ def retrieve_features(
         def parts(how: str) -> list[FeatureView]:
             return [FeatureView(part(v.frame, how), v.ts, v.values, v.tie_break, v.prefix) for v in views]
 
-        n_rows = sum(row["_n"] for row in hot)
         found = _as_of_by_window(part(usable, "left_anti"), parts("left_anti"), keys, spine_ts).unionByName(
             _as_of_by_ranges(
                 part(usable, "left_semi"), parts("left_semi"), keys, spine_ts, n_rows, rows_per_range

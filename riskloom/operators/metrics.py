@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import surrogate_id
-from riskloom.workspace import small_frame
+from riskloom.workspace import small_frame, written
 
 SCALARS = [
     "accuracy",
@@ -25,6 +25,7 @@ SCALARS = [
     "f1_weighted",
 ]
 _EPS = sys.float_info.epsilon
+MAX_LABELS = 1_000
 
 
 def _nll(actual: str, probabilities: dict[str, str]) -> Column:
@@ -46,21 +47,28 @@ def pair_counts(
     return df.groupBy(*by, F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(*measures)
 
 
-def confusion_matrix(counts: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Counts for every pair of labels seen on either side, zeros included, in long form."""
-    labels = (
-        counts.groupBy(*by)
-        .agg(
-            F.array_sort(
-                F.array_union(F.collect_set("actual"), F.collect_set("predicted"))
-            ).alias("labels")
+def confusion_matrix(counts: DataFrame, by: list[str] = (), limit: int = MAX_LABELS) -> DataFrame:
+    """Counts for every pair of labels seen on either side, zeros included, in long form.
+
+    A NULL is a label like others. The result has k x k rows per group by nature, so more than
+    ``limit`` labels are an error. ``counts`` is read once: its rows become one array per group.
+    """
+    cells = counts.groupBy(*by).agg(F.collect_list(F.struct("actual", "predicted", F.col("n").cast("bigint").alias("n"))).alias("cells"))
+    sides = F.concat(F.transform("cells", lambda c: c["actual"]), F.transform("cells", lambda c: c["predicted"]))
+    labels = F.array_distinct(sides)
+    labels = F.when(F.size(labels) <= limit, labels).otherwise(F.raise_error(F.lit(f"over {limit} labels")))
+    zero = F.lit(0).cast("bigint")
+    grid = F.flatten(
+        F.transform(
+            "labels",
+            lambda a: F.transform("labels", lambda p: F.struct(a.alias("actual"), p.alias("predicted"), zero.alias("n"))),
         )
     )
-    grid = labels.select(*by, "labels", F.explode("labels").alias("actual")).select(
-        *by, "actual", F.explode("labels").alias("predicted")
-    )
-    return grid.join(counts.select(*by, "actual", "predicted", "n"), [*by, "actual", "predicted"], "left").select(
-        *by, "actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    return (
+        cells.withColumn("labels", labels)
+        .select(*by, F.inline(F.concat(grid, F.col("cells"))))
+        .groupBy(*by, "actual", "predicted")
+        .agg(F.sum("n").alias("n"))
     )
 
 
@@ -172,24 +180,22 @@ def group_means(df: DataFrame, groups: list[str], digits: dict[str, int]) -> Dat
     return df.groupBy(*groups).agg(*means)
 
 
-def batch_distribution(df: DataFrame, batch: str, predicted: str, block: int = 1024) -> DataFrame:
+def batch_distribution(df: DataFrame, batch: str, predicted: str) -> DataFrame:
     """Prediction counts per batch beside the running row total.
 
-    The running total is summed in blocks of ``block`` batches and the block totals are carried,
-    so a long history is not ordered in one task.
+    The counts are range-partitioned by batch and written: running totals are summed inside each
+    range, and the totals of the ranges before are carried in (one row per range).
     """
     counts = df.groupBy(batch, predicted).agg(F.count("*").alias("n"))
-    size = counts.groupBy(batch).agg(F.sum("n").alias("_size")).withColumn(
-        "_block", F.floor(F.col(batch) / block)
-    )
-    in_block = Window.partitionBy("_block").orderBy(batch).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = size.groupBy("_block").agg(F.sum("_size").alias("_total"))
-    carried = blocks.select("_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry"))
-    running = size.join(carried, "_block").select(
-        batch, (F.sum("_size").over(in_block) + F.col("_carry")).alias("running_total")
-    )
-    return counts.join(running, batch)
+    ranged = counts.repartitionByRange(batch).withColumn("_range", F.spark_partition_id())
+    ranged = written(df.sparkSession, ranged, "batch-counts")
+    # by value, so all rows of one batch get its total
+    so_far = Window.partitionBy("_range").orderBy(batch).rangeBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.sum("n").alias("_size"))
+    carried = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_carry"))
+    running = (F.sum("n").over(so_far) + F.col("_carry")).alias("running_total")
+    return ranged.join(carried, "_range").select(batch, predicted, "n", running)
 
 
 def metrics_to_long(
@@ -202,8 +208,11 @@ def metrics_to_long(
     probabilities: dict | None = None,
     labels: list[str] | None = None,
 ) -> DataFrame:
-    """The metric log: scalar metrics, per-label metrics and the matrix as JSON, one row each."""
-    counts = pair_counts(df, actual, predicted, probabilities=probabilities)
+    """The metric log: scalar metrics, per-label metrics and the matrix as JSON, one row each.
+
+    The pair counts are written once (k x k rows), so the predictions are read by one scan.
+    """
+    counts = written(df.sparkSession, pair_counts(df, actual, predicted, probabilities=probabilities), "pair-counts")
     scalars = summary(counts).withColumn("test_size", F.col("test_size").cast("double"))
     names = [*SCALARS, "test_size"]
     long = [scalars.unpivot([], names, "metric_name", "metric_value")]
@@ -234,7 +243,7 @@ def metrics_to_long(
         )
     )
     return rows.select(
-        surrogate_id([F.lit(model_name), F.lit(model_version), "metric_name"], "M").alias("metric_id"),
+        surrogate_id([F.lit(model_name), F.lit(model_version), evaluated_at, "metric_name"], "M").alias("metric_id"),
         F.lit(model_name).alias("model_name"),
         F.lit(model_version).alias("model_version"),
         "metric_name",

@@ -5,10 +5,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.workspace import written
+
 HISTOGRAM_ROWS = 65_536
+MOST_BINS = 4096
+SMALLEST_EXPONENT = 1100  # log2 of any double lies above -1100 and below 1100
 
 
 def _valid(name: str):
@@ -39,6 +43,8 @@ def column_stats(df: DataFrame, columns: list[str]) -> dict[str, ColumnStats]:
     The columns are stacked to (column, value) and aggregated per column before the shuffle; an
     aggregate of several functions for each of many columns would be too large to compile.
     """
+    if not columns:
+        return {}
     values = df.select(*[_valid(c).alias(f"x{i}") for i, c in enumerate(columns)])
     cells = ", ".join(f"{i}, x{i}" for i in range(len(columns)))
     rows = (
@@ -60,10 +66,12 @@ def exact_quantiles(
     A sort or a map of distinct values would put a whole column into one task. Instead every
     wanted rank is narrowed down: one pass counts the values of its interval into equal-width
     bins with their smallest and largest value, and the bin that holds the rank is the next
-    interval. Every pass is one scan with a pre-aggregated grouping and returns at most
-    HISTOGRAM_ROWS rows for all columns together; two or three passes settle ordinary data, and
-    an interval always loses at least one distinct value per pass. ``stats`` may hand in the
-    result of an earlier first scan.
+    interval. An interval whose ends differ by more than a factor of two is cut by the exponent, so
+    one or two passes bring any interval, infinite ones too, down to doubles of about one size; of
+    those there are 2^52, and a pass leaves one bin of them. That bounds the passes at seven for up
+    to 16 intervals at a time. Every pass is one scan with a pre-aggregated grouping and returns
+    at most HISTOGRAM_ROWS rows for all columns together. ``stats`` may hand in the result of an
+    earlier first scan.
     """
     columns = list(dict.fromkeys(columns))
     values = df.select(*[_valid(c).alias(f"x{i}") for i, c in enumerate(columns)])
@@ -82,7 +90,7 @@ def exact_quantiles(
 
     while open_ranks:
         intervals = sorted({(i, lo, hi) for (i, _), (lo, hi, _) in open_ranks.items()})
-        bins = max(16, min(1024, HISTOGRAM_ROWS // len(intervals)))
+        bins = max(16, min(MOST_BINS, HISTOGRAM_ROWS // len(intervals)))
         histogram = _histogram(values, intervals, bins)
         still_open = {}
         for (i, rank), (lo, hi, below) in open_ranks.items():
@@ -108,18 +116,80 @@ def exact_quantiles(
                 continue
             low, high, part = _ranks(n, p)
             a, b = settled[i, low], settled[i, high]
-            row.append(a if part == 0 else a + (b - a) * part)
+            row.append(a if part == 0 or a == b else a + (b - a) * part)
         result[name] = row
     return result
 
 
+def _double(x: float) -> str:
+    """A SQL literal of any double."""
+    return f"double('{x!r}')" if math.isinf(x) else f"{x!r}D"
+
+
+def _one_size(lo: float, hi: float) -> bool:
+    """Whether equal widths suit an interval: one sign, and ends within about a factor of two."""
+    small, large = sorted((abs(lo), abs(hi)))
+    return (lo > 0) == (hi > 0) and small > 0 and not math.isinf(large) and large <= 2.2 * small
+
+
+def _exponent(x: float) -> float:
+    """The signed exponent that orders doubles of any size; agrees with the SQL in order, not to the bit."""
+    if x == 0:
+        return 0.0
+    size = SMALLEST_EXPONENT if math.isinf(x) else max(-SMALLEST_EXPONENT, min(SMALLEST_EXPONENT, math.log2(abs(x))))
+    return math.copysign(size + SMALLEST_EXPONENT, x)
+
+
+def grouped_quantile(df: DataFrame, groups: list[str], value: str, probability: float) -> DataFrame:
+    """(groups..., quantile): the interpolated exact quantile of every group, of any number and size.
+
+    Equal values are counted first; the counts are range-partitioned by (group, value) and
+    written, so that a group of any size spans tasks. Running totals inside the ranges plus those of
+    the ranges before give every value its ranks. NULL and NaN are left out.
+    """
+    spark = df.sparkSession
+    counts = df.select(*groups, _valid(value).alias("_x")).filter("_x IS NOT NULL").groupBy(*groups, "_x").agg(F.count("*").alias("_n"))
+    ranged = counts.repartitionByRange(*groups, "_x").withColumn("_range", F.spark_partition_id())
+    ranged = written(spark, ranged, "quantile-ranges")
+    so_far = Window.partitionBy("_range", *groups).orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range", *groups).agg(F.sum("_n").alias("_size"))
+    carried = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    position = ((F.sum("_size") - 1) * F.lit(float(probability))).alias("_position")
+    totals = sizes.groupBy(*groups).agg(position)
+
+    def same(names: list[str], left: DataFrame, right: DataFrame) -> DataFrame:
+        """A join in which NULL groups are groups too."""
+        other = right.withColumnsRenamed({n: f"_{n}_" for n in names})
+        on = [F.col(n).eqNullSafe(F.col(f"_{n}_")) for n in names]
+        return left.join(other, on).drop(*[f"_{n}_" for n in names])
+
+    ranked = ranged.withColumn("_upto", F.sum("_n").over(so_far))
+    ranked = same(groups, same(["_range", *groups], ranked, carried), totals)
+    last = F.col("_before") + F.col("_upto") - 1
+    first = last - F.col("_n") + 1
+    low, high = F.floor("_position"), F.ceil("_position")
+    ends = ranked.groupBy(*groups).agg(
+        F.max(F.when((first <= low) & (low <= last), F.col("_x"))).alias("_a"),
+        F.max(F.when((first <= high) & (high <= last), F.col("_x"))).alias("_b"),
+        F.first(F.col("_position") - F.floor("_position")).alias("_part"),
+    )
+    between = F.when((F.col("_part") == 0) | (F.col("_a") == F.col("_b")), F.col("_a"))
+    return ends.select(*groups, between.otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("quantile"))
+
+
 def _histogram(values: DataFrame, intervals: list[tuple[int, float, float]], bins: int) -> dict:
     cells = []
     for k, (i, lo, hi) in enumerate(intervals):
-        share = f"(x{i} - {lo!r}D) / {hi - lo!r}D"
-        if math.isinf(hi - lo):  # wider than the largest double: work on halves
-            share = f"(x{i} * 0.5D - {lo * 0.5!r}D) / {hi * 0.5 - lo * 0.5!r}D"
-        place = f"if(x{i} >= {lo!r}D AND x{i} <= {hi!r}D, int(least({bins - 1}, floor({share} * {bins}))), NULL)"
+        if _one_size(lo, hi):
+            share = f"(x{i} - {_double(lo)}) / {_double(hi - lo)}"
+        else:
+            first, last = _exponent(lo), _exponent(hi)
+            size = f"greatest(-{SMALLEST_EXPONENT}D, least({SMALLEST_EXPONENT}D, log2(abs(x{i})))) + {SMALLEST_EXPONENT}D"
+            signed = f"if(x{i} = 0D, 0D, signum(x{i}) * ({size}))"
+            share = f"({signed} - {_double(first)}) / {_double(last - first)}"
+        inside = f"x{i} >= {_double(lo)} AND x{i} <= {_double(hi)}"
+        place = f"if({inside}, int(least({bins - 1}, greatest(0, floor({share} * {bins})))), NULL)"
         cells.append(f"{k}, {place}, x{i}")
     counted = (
         values.selectExpr(f"stack({len(intervals)}, {', '.join(cells)}) AS (k, b, x)")

@@ -30,17 +30,31 @@ RULE_INPUTS = [
 ]
 
 
-def score_batch(model, df: DataFrame, keep: list[str], output: str = "predicted_risk", probabilities: dict | None = None) -> DataFrame:
-    """Model predictions beside the kept columns; probability columns where asked for.
+def class_probabilities(scored: DataFrame) -> Column:
+    """Probabilities as an array, in the model's class order.
 
-    ``probabilities`` maps label -> position in the model's probability vector.
+    A one-vs-rest model has none, only one margin per class: each gives the probability of its class
+    against the rest (the logistic loss of the boosters is in twice the margin), and these are
+    normalised to a sum of one.
     """
     from pyspark.ml.functions import vector_to_array
 
+    if "probability" in scored.columns:
+        return vector_to_array("probability")
+    single = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+    total = F.aggregate(single, F.lit(0.0), lambda a, p: a + p)
+    return F.transform(single, lambda p: F.when(total > 0, p / total).otherwise(1.0 / F.size(single)))
+
+
+def score_batch(model, df: DataFrame, keep: list[str], output: str = "predicted_risk", probabilities: dict | None = None) -> DataFrame:
+    """Model predictions beside the kept columns; probability columns where asked for.
+
+    ``probabilities`` maps label -> position in the model's class order.
+    """
     scored = model.transform(df)
     extra = []
     if probabilities:
-        vector = vector_to_array("probability")
+        vector = class_probabilities(scored)
         extra = [vector.getItem(i).alias(f"p_{label.lower()}") for label, i in probabilities.items()]
     return scored.select(*keep, F.col("predicted_label").alias(output), *extra)
 

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import hash_uniform
 from riskloom.operators.metrics import best_trial
-from riskloom.operators.quantiles import exact_quantiles
+from riskloom.operators.quantiles import grouped_quantile
 from riskloom.operators.training import TrainingFrame, evaluate, train_boosted, train_forest
 from riskloom.workspace import small_frame
 
 logger = logging.getLogger(__name__)
 
-MAX_TRIALS = 10_000
+MAX_TRIALS = 10_000  # configurations live on the driver; callers may set another limit
 
 
 def _draw(spec: dict, uniform: Column) -> Column:
@@ -87,13 +87,14 @@ def run_search(
     estimator: str = "boosted",
     seed: int = 42,
     concurrent: int = 2,
+    max_trials: int = MAX_TRIALS,
 ) -> DataFrame:
     """(trial_id, params, score): every trial is a distributed fit, a few run side by side.
 
     A trial that fails scores 0.0. The configurations, ``num_samples`` of them, live on the driver.
     """
-    if num_samples > MAX_TRIALS:
-        raise ValueError(f"at most {MAX_TRIALS} trials")
+    if num_samples > max_trials:
+        raise ValueError(f"at most {max_trials} trials")
     spark = train.sparkSession
     ids = spark.range(num_samples).withColumnRenamed("id", "trial_id")
     configs = [row.asDict() for row in sample_space(ids, "trial_id", space, seed).orderBy("trial_id").collect()]
@@ -120,26 +121,22 @@ def run_search(
     return small_frame(spark, results, "trial_id bigint, params string, score double")
 
 
-def halving_promote(
-    results: DataFrame, rung: str, metric: str, factor: int = 2, mode: str = "max", rungs: list | None = None
-) -> DataFrame:
+def _sign(mode: str) -> float:
+    if mode not in ("max", "min"):
+        raise ValueError("mode must be 'max' or 'min'")
+    return 1.0 if mode == "max" else -1.0
+
+
+def halving_promote(results: DataFrame, rung: str, metric: str, factor: int = 2, mode: str = "max") -> DataFrame:
     """Which trials of each rung go on: those not worse than the rung's top 1/factor cutoff.
 
-    The cutoff is the interpolated quantile at 1 - 1/factor, found per rung without sorting it;
-    rungs are few (grace * factor^k up to the budget).
+    The cutoff is the exact interpolated quantile at 1 - 1/factor of every rung, however many
+    rungs there are and however many trials they hold.
     """
-    sign = 1.0 if mode == "max" else -1.0
-    if rungs is None:
-        rungs = [r[0] for r in results.select(rung).distinct().orderBy(rung).limit(64).collect()]
-    per_rung = results.select(
-        *[F.when(F.col(rung) == r, F.col(metric).cast("double") * sign).alias(f"r{i}") for i, r in enumerate(rungs)]
-    )
-    found = exact_quantiles(per_rung, per_rung.columns, [1 - 1 / factor])
-    cutoff = F
-    for i, r in enumerate(rungs):
-        cutoff = cutoff.when(F.col(rung) == r, F.lit(found[f"r{i}"][0]))
-    promoted = F.col(metric).cast("double") * sign >= cutoff.otherwise(F.lit(None).cast("double"))
-    return results.withColumn("promoted", F.coalesce(promoted, F.lit(False)))
+    score = F.col(metric).cast("double") * _sign(mode)
+    cutoffs = grouped_quantile(results.select(F.col(rung).alias("_rung"), score.alias("_score")), ["_rung"], "_score", 1 - 1 / factor)
+    joined = results.join(cutoffs.withColumnRenamed("quantile", "_cutoff"), F.col(rung).eqNullSafe(F.col("_rung")), "left")
+    return joined.select(*results.columns, F.coalesce(score >= F.col("_cutoff"), F.lit(False)).alias("promoted"))
 
 
 def run_halving(
@@ -154,36 +151,48 @@ def run_halving(
     grace: int = 1,
     factor: int = 2,
     metric: str = "f1_macro",
+    mode: str = "max",
     estimator: str = "forest",
     seed: int = 42,
+    concurrent: int = 4,
+    max_trials: int = MAX_TRIALS,
 ) -> DataFrame:
     """Search with early stopping: rungs of grace, grace*factor, ... trees, survivors go on.
 
-    Returns (trial_id, rung, params, score) for every rung a trial reached.
+    The trials of a rung run side by side, ``concurrent`` at a time. Returns (trial_id, rung,
+    params, score) for every rung a trial reached; a trial that fails scores worst.
     """
-    spark = train.sparkSession
+    if num_samples > max_trials:
+        raise ValueError(f"at most {max_trials} trials")
+    spark, worst = train.sparkSession, -_sign(mode) * math.inf
     fixed = {k: v for k, v in space.items() if k != "n_estimators"}
     ids = spark.range(num_samples).withColumnRenamed("id", "trial_id")
     alive = {r["trial_id"]: r.asDict() for r in sample_space(ids, "trial_id", fixed, seed).collect()}
     ready = TrainingFrame(train, numeric, categorical, target, balanced=estimator == "forest")
+    held_out = test.select(*numeric, *categorical, target).persist()
     reached, trees = [], grace
+
+    def trial(item: tuple[int, dict]) -> tuple:
+        number, config = item
+        params = {k: v for k, v in config.items() if k != "trial_id"} | {"n_estimators": trees}
+        try:
+            score = float(evaluate(_fit(ready, params, estimator, seed), held_out, target).head()[metric])
+        except Exception:  # a bad configuration must not end the search
+            logger.exception("trial failed: %s", params)
+            score = worst
+        return number, trees, json.dumps(params, sort_keys=True), score
+
     try:
         while alive and trees <= max_trees:
-            rows = []
-            for number, config in sorted(alive.items()):
-                params = {k: v for k, v in config.items() if k != "trial_id"} | {"n_estimators": trees}
-                try:
-                    score = float(evaluate(_fit(ready, params, estimator, seed), test, target).head()[metric])
-                except Exception:
-                    logger.exception("trial failed: %s", params)
-                    score = 0.0
-                rows.append((number, trees, json.dumps(params, sort_keys=True), score))
+            with ThreadPoolExecutor(concurrent) as pool:
+                rows = list(pool.map(trial, sorted(alive.items())))
             reached += rows
             ranked = small_frame(spark, rows, "trial_id bigint, rung int, params string, score double")
-            kept = halving_promote(ranked, "rung", "score", factor, rungs=[trees]).filter("promoted").collect()
+            kept = halving_promote(ranked, "rung", "score", factor, mode).filter("promoted").collect()
             alive = {r["trial_id"]: alive[r["trial_id"]] for r in kept} if len(rows) > 1 else alive
             trees *= factor
     finally:
+        held_out.unpersist()
         ready.close()
     return small_frame(spark, reached, "trial_id bigint, rung int, params string, score double")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.expressions import hash_bucket
+from riskloom.functions.expressions import hash_bucket, hash_uniform
 
 
 def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
@@ -52,9 +52,12 @@ def prune_candidates(df: DataFrame, group: list[str], order: list[str], keep: in
     return df.join(cutoff, group).filter(F.struct(*order) < F.col("_cutoff")).drop("_cutoff")
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
-    """Bernoulli sample."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, fraction: float, ids: list[str], seed: int = 42) -> DataFrame:
+    """Bernoulli sample: rows whose repeatable draw, a hash of seed and ids, is below ``fraction``.
+
+    The choice doesn't depend on partitioning, so a retried task and a later run give the same rows.
+    """
+    return df.filter(hash_uniform([F.lit(seed), *ids]) < fraction)
 
 
 def hash_split(df: DataFrame, id_cols: list[str], train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:

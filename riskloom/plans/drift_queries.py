@@ -241,16 +241,12 @@ RULES = [
 _WATCHED = ["age", "heart_rate", "systolic_bp", "vital_signs_severity"]
 
 
-def _yearly(spark, sf_dir):
+def _alerts(spark, sf_dir):
     base = feature_frame(X.baseline_slice(spark, sf_dir), severity="serve", bmi="serve")
     live = feature_frame(X.drifted_live(spark, sf_dir), severity="serve", bmi="serve")
-    return R.drift_report(base, live, _WATCHED, [TARGET], granularity="year")
-
-
-def _alerts(spark, sf_dir):
-    return A.evaluate_alerts(
-        _yearly(spark, sf_dir), A.rules_frame(spark, RULES), _stamp("2001-01-01"), _stamp("2002-01-01")
-    )
+    since, until = _stamp("2001-01-01"), _stamp("2002-01-01")
+    found = A.watched_metrics(base, live, RULES, _WATCHED, [TARGET], since, until, "year")
+    return A.evaluate_alerts(found, A.rules_frame(spark, RULES), since, until)
 
 
 _RULE_VALUES = ", ".join(f"('{n}', '{c}', '{m}', {D(t)})" for n, c, m, t in RULES)

@@ -136,11 +136,11 @@ def clip_round(spark, sf_dir):
 
 @query(
     "surrogate_id",
-    "SELECT o_orderkey, 'M' || upper(substr(md5(o_orderkey || '|' || o_custkey), 1, 8)) AS id FROM orders",
+    "SELECT o_orderkey, 'M' || upper(md5(o_orderkey || '|' || o_custkey)) AS id FROM orders",
 )
 def surrogate_id(spark, sf_dir):
     return X.table(spark, sf_dir, "orders").select(
-        "o_orderkey", E.surrogate_id(["o_orderkey", "o_custkey"], "M", 8).alias("id")
+        "o_orderkey", E.surrogate_id(["o_orderkey", "o_custkey"], "M").alias("id")
     )
 
 
@@ -239,9 +239,13 @@ def top_k_query(spark, sf_dir):
     return top_k(lines, order, 100).select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("sample_bernoulli")
+@query(
+    "sample_bernoulli",
+    f"""SELECT * FROM orders
+        WHERE CAST(CAST('0x' || substr(md5('42|' || o_orderkey), 1, 8) AS BIGINT) AS DOUBLE) / {D(4294967296)} < 0.2""",
+)
 def sample_bernoulli(spark, sf_dir):
-    return sample_fraction(X.table(spark, sf_dir, "orders"), 0.2, seed=42)
+    return sample_fraction(X.table(spark, sf_dir, "orders"), 0.2, ["o_orderkey"], seed=42)
 
 
 @query(

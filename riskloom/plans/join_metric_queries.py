@@ -294,7 +294,7 @@ metric_rows AS (
 @query(
     "metrics_long",
     over_pr(
-        f"""SELECT 'M' || upper(substr(md5('{_MODEL}|{_VERSION}|' || metric_name), 1, 8)) AS metric_id,
+        f"""SELECT 'M' || upper(md5('{_MODEL}|{_VERSION}|2024-01-01 00:00:00|' || metric_name)) AS metric_id,
               '{_MODEL}' AS model_name, '{_VERSION}' AS model_version, metric_name,
               round(metric_value, 6) AS metric_value, metric_details,
               TIMESTAMP '2024-01-01 00:00:00' AS evaluated_at FROM metric_rows""",

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from riskloom.constants import MODEL_CATEGORICAL, MODEL_NUMERIC, SEARCH_SPACE
-from riskloom.functions.expressions import label_by_cutpoints, risk_label, risk_score
+from riskloom.constants import MODEL_CATEGORICAL, MODEL_NUMERIC, PROMOTION_THRESHOLDS, RISK_LABELS, SEARCH_SPACE
+from riskloom.functions.expressions import risk_label, risk_score
 from riskloom.operators import metrics as M
 from riskloom.operators import preprocess as R
 from riskloom.operators import scoring as C
@@ -119,36 +117,94 @@ def _train_test(spark, sf_dir):
     return hash_split(feature_frame(X.patients(spark, sf_dir)), ["patient_id"])
 
 
+_TEST = "CAST('0x' || substr(md5(patient_id), 1, 8) AS BIGINT) % 10 >= 8"
+
+
 def _quality(row, estimator: str):
-    return row.select("accuracy", "f1_macro", "test_size", F.lit(estimator).alias("estimator"))
+    """What can be known beforehand of a fit: the size of the test set, and that the gate is passed."""
+    return row.select(
+        F.lit(estimator).alias("estimator"),
+        (F.col("accuracy") >= PROMOTION_THRESHOLDS["accuracy"]).alias("accuracy_passed"),
+        (F.col("f1_macro") >= PROMOTION_THRESHOLDS["f1_macro"]).alias("f1_macro_passed"),
+        "test_size",
+    )
+
+
+def _quality_sql(estimator: str) -> str:
+    return over_p(
+        f"""SELECT '{estimator}' AS estimator, true AS accuracy_passed, true AS f1_macro_passed, count(*) AS test_size
+            FROM p WHERE {_TEST}"""
+    )
 
 
-@query("train_forest_quality")
+@query("train_forest_quality", _quality_sql("forest"))
 def train_forest_quality(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    model = T.train_forest(train, MODEL_NUMERIC, MODEL_CATEGORICAL, num_trees=20, max_depth=8)
+    model = T.train_forest(train, MODEL_NUMERIC, MODEL_CATEGORICAL)
     return _quality(T.evaluate(model, test, "risk_level"), "forest")
 
 
-@query("train_boosted_quality")
+@query("train_boosted_quality", _quality_sql("boosted"))
 def train_boosted_quality(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
-    model = T.train_boosted(train, MODEL_NUMERIC, MODEL_CATEGORICAL, num_trees=3, max_depth=4, learning_rate=0.3)
+    model = T.train_boosted(train, MODEL_NUMERIC, MODEL_CATEGORICAL, learning_rate=0.3)
     return _quality(T.evaluate(model, test, "risk_level"), "boosted")
 
 
-@query("score_batch")
+def _registered(spark, train):
+    registry = T.ModelRegistry(spark, fresh_path(spark, "models"))
+    registry.register(T.train_forest(train, MODEL_NUMERIC, MODEL_CATEGORICAL), "patient_risk", "v_20240101_000000")
+    return registry
+
+
+@query(
+    "score_batch",
+    over_p(
+        f"""SELECT patient_id, encounter_id, risk_level, true AS label_known, true AS sums_to_one FROM p WHERE {_TEST}"""
+    ),
+)
 def score_batch(spark, sf_dir):
+    """The default version, set by the gate, scores the test set with probabilities."""
     train, test = _train_test(spark, sf_dir)
-    registry = T.ModelRegistry(spark, fresh_path(spark, "models"))
-    model = T.train_forest(train, MODEL_NUMERIC, MODEL_CATEGORICAL, num_trees=10, max_depth=6)
-    metrics = T.evaluate(model, test, "risk_level").head()
-    registry.register(model, "patient_risk", "v_20240101_000000", json.dumps(metrics.asDict()))
-    registry.set_default("patient_risk", "v_20240101_000000", "2024-01-01 00:00:00")
-    positions = {name: i for i, name in enumerate(["CRITICAL", "HIGH", "LOW", "MEDIUM"])}
-    return C.score_batch(
+    registry = _registered(spark, train)
+    T.evaluate_and_promote(
+        registry, "patient_risk", "v_20240101_000000", test, "risk_level", PROMOTION_THRESHOLDS, "2024-01-01 00:00:00"
+    )
+    positions = {name: i for i, name in enumerate(sorted(RISK_LABELS))}
+    scored = C.score_batch(
         registry.load("patient_risk"), test, ["patient_id", "encounter_id", "risk_level"], probabilities=positions
     )
+    total = sum((F.col(f"p_{n.lower()}") for n in RISK_LABELS), F.lit(0.0))
+    return scored.select(
+        "patient_id",
+        "encounter_id",
+        "risk_level",
+        F.col("predicted_risk").isin(*RISK_LABELS).alias("label_known"),
+        (F.abs(total - 1) < 1e-6).alias("sums_to_one"),
+    )
+
+
+@query(
+    "evaluate_and_promote",
+    over_p(
+        f"""SELECT metric_name, passed, reason, 'v_20240101_000000' AS default_version, n AS test_size, 25 AS logged
+            FROM (VALUES ('accuracy', true, CAST(NULL AS VARCHAR)), ('f1_macro', true, NULL), ('overall', true, NULL)) c(metric_name, passed, reason),
+              (SELECT CAST(count(*) AS DOUBLE) AS n FROM p WHERE {_TEST})"""
+    ),
+)
+def evaluate_and_promote(spark, sf_dir):
+    """A worse version is registered later and fails a stricter gate, so the default stays."""
+    train, test = _train_test(spark, sf_dir)
+    registry = _registered(spark, train)
+    checks = T.evaluate_and_promote(
+        registry, "patient_risk", "v_20240101_000000", test, "risk_level", PROMOTION_THRESHOLDS, "2024-01-01 00:00:00"
+    )
+    registry.register(registry.load("patient_risk", "v_20240101_000000"), "patient_risk", "v_20240102_000000")
+    T.evaluate_and_promote(registry, "patient_risk", "v_20240102_000000", test, "risk_level", {"accuracy": 1.01}, "2024-01-02 00:00:00")
+    log = registry.metrics().filter("model_version = 'v_20240101_000000'")
+    seen = log.agg(F.max(F.when(F.col("metric_name") == "test_size", F.col("metric_value"))).alias("test_size"), F.count("*").cast("int").alias("logged"))
+    default = registry.state().select("default_version")
+    return checks.select("metric_name", "passed", "reason").crossJoin(F.broadcast(default)).crossJoin(F.broadcast(seen))
 
 
 # ------------------------------------------------------------------ search
@@ -179,27 +235,36 @@ def hpo_sample_space(spark, sf_dir):
     return _round(drawn, [c for c, t in drawn.dtypes if t == "double"], 9)
 
 
-@query("hpo_search")
+@query(
+    "hpo_search",
+    """SELECT unnest([1, 2, 4, 8, 16, 32]) AS rung, 20 AS most_trials, true AS shrinks, true AS scored, true AS best_passed FROM region
+       WHERE r_regionkey = 0""",
+)
 def hpo_search(spark, sf_dir):
+    """Twenty configurations of the documented ranges; each rung doubles the trees and halves the field."""
     train, test = _train_test(spark, sf_dir)
-    space = {
-        "n_estimators": {"type": "randint", "lower": 2, "upper": 4},
-        "max_depth": {"type": "randint", "lower": 2, "upper": 5},
-        "learning_rate": {"type": "loguniform", "lower": 0.1, "upper": 0.5},
-        "subsample": {"type": "uniform", "lower": 0.5, "upper": 1.0},
-    }
-    results = H.run_search(train, test, MODEL_NUMERIC, MODEL_CATEGORICAL, "risk_level", space, num_samples=2)
-    return results.unionByName(M.best_trial(results, "score", "max", "trial_id").withColumn("trial_id", F.lit(-1)))
+    space = {name: SEARCH_SPACE[name] for name in ("n_estimators", "max_depth", "subsample")}
+    found = H.run_halving(
+        train, test, MODEL_NUMERIC, MODEL_CATEGORICAL, "risk_level", space, num_samples=20, max_trees=32, mode="max"
+    )
+    best = M.best_trial(found, "score", "max", "trial_id").select((F.col("score") >= PROMOTION_THRESHOLDS["f1_macro"]).alias("best_passed"))
+    rungs = found.groupBy("rung").agg(F.count("*").alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("scored"))
+    # rung 2^k holds 20 / 2^k trials, rounded up at each step; ties may keep a few more
+    return rungs.select(
+        "rung",
+        F.lit(20).alias("most_trials"),
+        (F.col("n") <= F.ceil(F.lit(20) / F.col("rung")) + 3).alias("shrinks"),
+        "scored",
+    ).crossJoin(F.broadcast(best))
 
 
 _TRIALS = """trials AS (
   SELECT p_partkey AS trial_id, p_brand, p_type, p_size, p_retailprice AS score,
-    CASE WHEN p_size <= 10 THEN 1 WHEN p_size <= 20 THEN 2 WHEN p_size <= 30 THEN 4 WHEN p_size <= 40 THEN 8
-      ELSE 16 END AS rung FROM part)"""
+    CAST(p_partkey % 97 AS INTEGER) AS rung FROM part)"""
 
 
 def _trials(spark, sf_dir):
-    rung = label_by_cutpoints("p_size", [10, 20, 30, 40], ["1", "2", "4", "8", "16"]).cast("int")
+    rung = (F.col("p_partkey") % 97).cast("int")
     return X.table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("trial_id"), "p_brand", "p_type", "p_size", F.col("p_retailprice").alias("score"), rung.alias("rung")
     )

@@ -225,7 +225,14 @@ def feature_view_idempotent(spark, sf_dir):
     return store.create_view("encounter_features", changed, "patient", tie_break=["encounter_id"])
 
 
-@query("feature_catalog")
+@query(
+    "feature_catalog",
+    over_p(
+        """SELECT 'encounter_features' AS view, 'v1' AS version, 'patient' AS entity, 'patient_id' AS join_keys,
+             'ts' AS ts_column, '1 minute' AS refresh, count(*) AS n_rows FROM p
+           UNION ALL SELECT 'spend', 'v2', 'patient', 'patient_id', 'ts', '1 minute', count(*) FROM orders"""
+    ),
+)
 def feature_catalog(spark, sf_dir):
     store, raw = _store(spark), X.patients(spark, sf_dir)
     store.create_view("encounter_features", feature_frame(raw), "patient", tie_break=["encounter_id"])
@@ -233,7 +240,14 @@ def feature_catalog(spark, sf_dir):
         F.concat(F.lit("P"), F.col("o_custkey")).alias("patient_id"), F.col("o_orderdate").alias("ts"), "o_totalprice"
     )
     store.create_view("spend", spend, "patient", version="v2")
-    return store.views().join(store.entities().select("entity", "join_keys"), "entity")
+    sizes = [
+        store.read_view(v, n).agg(F.count("*").alias("n_rows")).select(F.lit(v).alias("view"), F.lit(n).alias("version"), "n_rows")
+        for v, n in (("encounter_features", "v1"), ("spend", "v2"))
+    ]
+    listed = store.views().join(store.entities().select("entity", F.array_join("join_keys", ",").alias("join_keys")), "entity")
+    return listed.join(sizes[0].unionByName(sizes[1]), ["view", "version"]).select(
+        "view", "version", "entity", "join_keys", "ts_column", "refresh", "n_rows"
+    )
 
 
 @query(

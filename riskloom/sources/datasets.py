@@ -97,11 +97,13 @@ class FeatureStore:
         """Materialise a view under (name, version) and return it.
 
         One that exists is returned unchanged, so a repeated run does no work; a changed rule
-        needs a new version, or ``replace`` (which keeps rows added by refreshes).
+        needs a new version, or ``replace``: ``df`` then becomes the whole view, in a new folder, and
+        neither the old rows nor those of earlier refreshes are in it any more.
         """
-        path = self._view_path(name, version)
-        if replace or not exists(self.spark, f"{path}/{_FIRST}/_SUCCESS"):
-            df.write.mode("overwrite").parquet(f"{path}/{_FIRST}")
+        current = self._current(name, version)
+        if replace or current is None:
+            # by path, not in place: readers of the old folder are not disturbed
+            df.write.mode("overwrite").parquet(f"{self._view_path(name, version)}/write={0 if current is None else current + 1}/{_FIRST}")
         known = (F.col("view") == name) & (F.col("version") == version)
         if self.views().filter(known).isEmpty():
             row = (name, version, entity, ts_column, list(tie_break), refresh, description)
@@ -111,8 +113,20 @@ class FeatureStore:
     def _view_path(self, name: str, version: str) -> str:
         return _folder(f"{self.root}/views", name, version)
 
+    def _current(self, name: str, version: str) -> int | None:
+        """Number of the newest complete write of a view."""
+        path = self._view_path(name, version)
+        found = [int(n.split("=", 1)[1]) for n in child_names(self.spark, path) if n.startswith("write=")]
+        return next((n for n in sorted(found, reverse=True) if exists(self.spark, f"{path}/write={n}/{_FIRST}/_SUCCESS")), None)
+
+    def _current_path(self, name: str, version: str) -> str:
+        current = self._current(name, version)
+        if current is None:
+            raise LookupError(f"view {name}/{version} was never written")
+        return f"{self._view_path(name, version)}/write={current}"
+
     def read_view(self, name: str, version: str = "v1") -> DataFrame:
-        return self.spark.read.parquet(self._view_path(name, version)).drop("batch_id")
+        return self.spark.read.parquet(self._current_path(name, version)).drop("batch_id")
 
     def refresh_view(self, name: str, version: str, arrived: DataFrame, refresh: str | None = "1 minute"):
         """Keep a view up to date from a stream of its rows; returns the running query.
@@ -120,10 +134,9 @@ class FeatureStore:
         Each micro-batch is a folder of its own beside the first write and replaces itself when
         it is retried. ``refresh=None`` takes in what is there and ends.
         """
-        path = self._view_path(name, version)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            batch.write.mode("overwrite").parquet(f"{self._current_path(name, version)}/batch_id={batch_id}")
 
         writer = arrived.writeStream.foreachBatch(write).option(
             "checkpointLocation", f"{self.root}/_refresh/{name}/{version}"

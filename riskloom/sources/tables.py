@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators.selection import latest_per_key
-
 
 def read_table(spark: SparkSession, location: str) -> DataFrame:
     """A parquet path, or the name of a catalog table or view."""
@@ -21,7 +19,7 @@ def conform(df: DataFrame, schema: dict[str, str], defaults: dict[str, Column] |
     present = {c.lower() for c in df.columns}
 
     def typed(name: str, kind: str) -> Column:
-        if name in present:
+        if name.lower() in present:
             value = F.col(name).cast(kind)
             return F.coalesce(value, defaults[name].cast(kind)) if name in defaults else value
         if name in defaults:
@@ -96,13 +94,23 @@ def define_view(df: DataFrame, name: str) -> DataFrame:
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keyed merge: the updates' newest row where the key matches, else the old row.
 
-    Both sides are combined by one pre-aggregated grouping, so repeated updates of a key
-    collapse before the shuffle.
+    Columns the updates lack keep the target's value (NULL for a new key). Rows without a full key
+    match nothing: those of both sides stay as they are. Both sides are combined by one
+    pre-aggregated grouping, so repeated updates of a key collapse before the shuffle.
     """
+    have = {c.lower() for c in updates.columns}
+    kept = [c for c in target.columns if c.lower() not in have]
     sided = target.withColumn("_from", F.lit(0)).unionByName(
         updates.withColumn("_from", F.lit(1)), allowMissingColumns=True
     )
-    return latest_per_key(sided, keys, ["_from", *order]).drop("_from")
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rest = [c for c in sided.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct("_from", *order)).alias("_row")
+    old = F.max_by(F.struct(*kept), F.when(F.col("_from") == 0, F.struct(*order))) if kept else F.lit(None)
+    merged = sided.filter(whole).groupBy(*keys).agg(newest, old.alias("_old"))
+    columns = [c for c in sided.columns if c != "_from"]
+    picked = [F.col(c) if c in keys else F.col("_old")[c].alias(c) if c in kept else F.col("_row")[c].alias(c) for c in columns]
+    return merged.select(*picked).unionByName(sided.filter(~whole).select(*columns))
 
 
 def lookup(wanted: DataFrame, state: DataFrame, keys: list[str], value: str, default) -> DataFrame:

@@ -91,7 +91,7 @@ def test_alert_history_keeps_order(spark):
 def test_batch_distribution_blocks(spark):
     batches = [(b, p) for b in range(0, 50, 3) for p in ["x"] * (b % 4 + 1) + ["y"]]
     frame = spark.createDataFrame(batches, "b bigint, p string")
-    got = {(r.b, r.p): (r.n, r.running_total) for r in batch_distribution(frame, "b", "p", block=4).collect()}
+    got = {(r.b, r.p): (r.n, r.running_total) for r in batch_distribution(frame, "b", "p").collect()}
     for (b, p), (n, total) in got.items():
         assert n == batches.count((b, p))
         assert total == sum(1 for other, _ in batches if other <= b)

@@ -79,10 +79,28 @@ def test_never_looks_ahead(spark):
     assert got.count() == len(spine)
 
 
-def test_hot_keys_are_bounded(spark):
+def test_hot_keys(spark):
     frame = spark.createDataFrame([(k,) for k in "aaaabbbc"], "k string")
-    assert [(r["k"], r["_n"]) for r in hot_keys([frame], ["k"], 1)] == [("a", 4), ("b", 3)]
-    assert [r["k"] for r in hot_keys([frame], ["k"], 0, at_most=1)] == ["a"]
+    assert sorted((r["k"], r["_n"]) for r in hot_keys([frame], ["k"], 1).collect()) == [("a", 4), ("b", 3)]
+
+
+def test_many_hot_keys_and_ties(spark):
+    """More hot keys than any list would hold, and ties without a tie-break: both paths agree."""
+    spine = spark.range(1800).selectExpr("id % 600 AS k", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 3) AS at")
+    rows = spark.range(3600).selectExpr(
+        "id % 600 AS k", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 2) AS t", "id * 7919 % 1000 AS v", "string(id % 13) AS w"
+    )
+    got = [
+        sorted(tuple(r) for r in as_of_join(spine, rows, ["k"], "at", "t", ["v", "w"], hot_rows=n, rows_per_range=500).collect())
+        for n in (None, 3)
+    ]
+    assert got[0] == got[1] and len(got[0]) == 1800
+
+
+def test_name_collisions_are_an_error(spark):
+    frame = spark.sql("SELECT 'a' AS k, timestamp_ntz'2024-01-01' AS t, 1 AS v")
+    with pytest.raises(ValueError, match="prefix"):
+        as_of_join(frame.select("k", "t", "v"), frame.withColumnRenamed("t", "u"), ["k"], "t", "u", ["v"])
 
 
 def test_latest_and_prune_against_sorting(spark):
