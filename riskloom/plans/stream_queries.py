@@ -81,8 +81,8 @@ def stream_capture(spark, sf_dir):
 )
 def stream_daily_counts(spark, sf_dir):
     counts = L.window_counts(L.with_event_time(_stream(spark, sf_dir, "events")), ["event_type"])
-    path = L.run_to_path(lambda p: L.snapshot_sink(counts, p), spark, "stream-daily")
-    daily = L.latest_snapshot(spark, path)
+    path = L.run_to_path(lambda p: L.window_sink(counts, p), spark, "stream-daily")
+    daily = L.read_windows(spark, path)
     return daily.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -98,7 +98,7 @@ def _live_events(spark, sf_dir):
 def stream_psi_by_day(spark, sf_dir):
     drift, after = _live_events(spark, sf_dir)
     path = L.run_to_path(lambda p: drift.report_sink(after, p), spark, "stream-drift")
-    return L.latest_snapshot(spark, path).select("window_start", "column", "psi", "kl", "jsd")
+    return L.read_windows(spark, f"{path}/report").select("window_start", "column", "psi", "kl", "jsd")
 
 
 _RULES = [
@@ -124,7 +124,7 @@ def stream_alerts(spark, sf_dir):
     since, until = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-16", "2024-01-31"))
     rules = A.rules_frame(spark, _RULES)
     path = L.run_to_path(lambda p: drift.alert_sink(after, rules, p, since, until), spark, "stream-alerts")
-    return spark.read.parquet(path).select("alert_name", "column", "metric", "threshold", "max_value")
+    return L.read_alerts(spark, path).select("alert_name", "column", "metric", "threshold", "max_value")
 
 
 @query("stream_dedup", "SELECT event_id, user_id, value FROM events")

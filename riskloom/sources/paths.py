@@ -20,6 +20,18 @@ def is_directory(spark: SparkSession, path: str) -> bool:
     return files.exists(target) and files.getFileStatus(target).isDirectory()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared one, if it is there."""
+    files, target = _resolve(spark, path)
+    files.delete(target, True)
+
+
+def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers n of the complete folders ``<prefix>=<n>`` below a folder, ascending."""
+    found = [n.split("=", 1)[1] for n in child_names(spark, path) if n.startswith(f"{prefix}=")]
+    return sorted(int(n) for n in found if exists(spark, f"{path}/{prefix}={n}/_SUCCESS"))
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when there is no such folder."""
     files, target = _resolve(spark, path)

@@ -10,6 +10,7 @@ from riskloom.operators import drift as R
 from riskloom.operators.metrics import batch_distribution
 from riskloom.sources import fixtures as X
 from riskloom.streaming import live as L
+from riskloom.sources.paths import numbered
 from riskloom.workspace import fresh_path
 
 COLUMNS, CATEGORIES, SEGMENTS = ["age", "glucose_level"], ["risk_level"], ["admission_type"]
@@ -117,10 +118,10 @@ def test_live_drift_equals_batch(spark, sf_dir, split_events):
     events = X.table(spark, sf_dir, "events")
     before, after = events.filter(F.col("ts") < split), events.filter(F.col("ts") >= split)
     live = L.LiveDrift(before, ["value"], [], segments=["event_type"])
-    stream = L.with_event_time(_source(spark, split_events).filter(F.col("ts") >= split))
+    stream = L.with_event_time(_source(spark, split_events).filter(F.col("ts") >= split), watermark="60 days")
     path = L.run_to_path(lambda p: live.report_sink(stream, p), spark, "drift")
     batch = R.drift(before, after, ["value"], segments=["event_type"], granularity="day")
-    found = L.latest_snapshot(spark, path)
+    found = L.read_windows(spark, f"{path}/report")
     assert rows(found.select(*batch.columns)) == rows(batch)
 
 
@@ -129,12 +130,29 @@ def test_live_alerts_are_reported_once(spark, split_events):
     live = L.LiveDrift(baseline, [], ["event_type"])
     rules = A.rules_frame(spark, [("types", "event_type", "psi", 0.1), ("never", "event_type", "jsd", 5.0)])
     since, until = (F.lit(d).cast("timestamp_ntz") for d in ("2000-01-01", "2100-01-01"))
-    stream = L.with_event_time(_source(spark, split_events))
+    stream = L.with_event_time(_source(spark, split_events), watermark="60 days")
     path = L.run_to_path(lambda p: live.alert_sink(stream, rules, p, since, until), spark, "alerts")
-    reported = spark.read.parquet(path)
-    assert [r.alert_name for r in reported.collect()] == ["types"]
+    assert [r.alert_name for r in L.read_alerts(spark, path).collect()] == ["types"]
     every = L.run_to_path(lambda p: live.alert_sink(stream, rules, p, since, until, every=2), spark, "alerts")
-    assert spark.read.parquet(every).count() == 1
+    assert L.read_alerts(spark, every).count() == 1
+
+
+def test_a_restarted_monitor_goes_on(spark, sf_dir, split_events):
+    """Stopped after each file and started anew, with another baseline at hand: the same report."""
+    split = F.lit("2024-01-15").cast("timestamp_ntz")
+    events = X.table(spark, sf_dir, "events")
+    before, after = events.filter(F.col("ts") < split), events.filter(F.col("ts") >= split)
+    store, path, checkpoint = (fresh_path(spark, n) for n in ("monitor", "drift", "checkpoint"))
+    folder = fresh_path(spark, "landing")
+    for low, high in (("2024-01-15", "2024-01-20"), ("2024-01-20", "2024-01-26"), ("2024-01-26", "2024-03-01")):
+        after.filter(f"ts >= '{low}' AND ts < '{high}'").write.mode("append").parquet(f"{folder}/events.parquet")
+        known = before if low == "2024-01-15" else after.filter("value < 3")
+        live = L.LiveDrift(known, ["value"], ["event_type"], store=store)
+        stream = L.with_event_time(L.stream_source(spark, folder, "events.parquet", events.schema))
+        L.drain(L.start(live.report_sink(stream, path), checkpoint, refresh=None))
+    batch = R.drift(before, after, ["value"], ["event_type"], granularity="day")
+    assert rows(L.read_windows(spark, f"{path}/report").select(*batch.columns)) == rows(batch)
+    assert len(numbered(spark, f"{path}/report/list", "step")) == 2  # older states are gone
 
 
 def test_daily_counts_append_holds_back_the_open_day(spark, sf_dir):
@@ -143,7 +161,7 @@ def test_daily_counts_append_holds_back_the_open_day(spark, sf_dir):
     counts = L.window_counts(events, ["event_type"])
     path = L.run_to_path(lambda p: L.file_sink(counts, p), spark, "daily")
     closed = spark.read.parquet(path)
-    complete = L.latest_snapshot(spark, L.run_to_path(lambda p: L.snapshot_sink(counts, p), spark, "daily"))
+    complete = L.read_windows(spark, L.run_to_path(lambda p: L.window_sink(counts, p), spark, "daily"))
     last = complete.agg(F.max("window_start")).head()[0]
     assert 0 < closed.count() < complete.count()
     assert closed.filter(F.col("window_start") == last).count() == 0
@@ -167,4 +185,4 @@ def test_a_batch_seen_again_replaces_itself(spark, split_events):
 
 def test_no_snapshot_is_an_error(spark):
     with pytest.raises(LookupError):
-        L.latest_snapshot(spark, fresh_path(spark, "nothing"))
+        L.read_windows(spark, fresh_path(spark, "nothing"))
