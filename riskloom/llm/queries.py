@@ -44,7 +44,7 @@ def op8_line_dedup(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", sql.QUALITY)
 def op9_quality_rules(spark, sf_dir):
     from riskloom.llm.quality import quality
 
@@ -58,14 +58,14 @@ def op10_warc_round_trip(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-@query("op7_decontamination")
+@query("op7_decontamination", sql.CONTAMINATION)
 def op7_decontamination(spark, sf_dir):
     from riskloom.llm.contamination import contamination
 
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key", "items")
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", sql.SUBSTRING_DEDUP)
 def op1_substring_dedup(spark, sf_dir):
     from riskloom.llm.repeats import substring_dedup
 
@@ -79,11 +79,11 @@ def op4_suffix_array_dedup(spark, sf_dir):
     return byte_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@query("op3_jaccard_join")
+@query("op3_jaccard_join", sql.JACCARD)
 def op3_jaccard_join(spark, sf_dir):
     from riskloom.llm.near_duplicates import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op5_mixing")

@@ -1,6 +1,6 @@
 """DuckDB SQL that returns the rows of a registered query."""
 
-# no form: regular expressions of DuckDB have no leftmost offsets of all matches
+# no form: the spans that the guess cost adds come from a dynamic program
 SECRETS = None
 
 LINE_DEDUP = r"""
@@ -40,3 +40,116 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
   CASE WHEN page_id < owner THEN owner END AS refers_to
 FROM groups
 """
+
+WORD = r"[^\x20\x09-\x0D]+"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_KEY = "coalesce(doc_id, 9223372036854775807) AS k"
+
+SUBSTRING_DEDUP = f"""
+WITH d AS (SELECT doc_id, {_KEY}, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+win AS (
+  SELECT k, i, array_to_string(w[i:i + 49], ' ') AS s
+  FROM (SELECT k, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+),
+firsts AS (SELECT s, min(k) AS f FROM win GROUP BY s),
+bad AS (
+  SELECT DISTINCT k, unnest(range(i, i + 50)) AS pos FROM win JOIN firsts USING (s) WHERE f < k
+),
+parts AS (SELECT doc_id, k, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+kept AS (
+  SELECT p.k, count(*) FILTER (WHERE b.pos IS NOT NULL) AS n_removed,
+    string_agg(word, ' ' ORDER BY p.pos) FILTER (WHERE b.pos IS NULL) AS rest
+  FROM parts p LEFT JOIN bad b ON p.k = b.k AND p.pos = b.pos GROUP BY p.k
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (k)
+"""
+
+JACCARD = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '{WORD}') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT x, y FROM common JOIN sizes m ON m.doc_id = x JOIN sizes n ON n.doc_id = y WHERE 100 * c >= 80 * (m.n + n.n - c)
+),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT a, y FROM reach JOIN sides ON b = x
+)
+SELECT a AS doc_id, coalesce(any_value(n), 0) AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN sizes ON doc_id = a GROUP BY a
+"""
+
+CONTAMINATION = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+),
+items AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+b AS (
+  SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM items WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT size FROM b),
+win AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+),
+hits AS (SELECT doc_id, i, win.size, item FROM win JOIN b ON win.s = b.s AND win.size = b.size),
+words AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS pos FROM hits) GROUP BY doc_id
+),
+names AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+QUALITY = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents
+),
+lines AS (
+  SELECT doc_id, host, t, line, regexp_extract_all({LOWERED.format("line")}, '{WORD}') AS lw
+  FROM (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
+),
+filled AS (SELECT doc_id, host, t, line, len(lw) AS n, array_to_string(lw, ' ') AS norm FROM lines WHERE len(lw) > 0),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM filled GROUP BY doc_id),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+),
+again AS (SELECT doc_id, s FROM win GROUP BY ALL HAVING count(*) > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT pos) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS pos FROM win JOIN again USING (doc_id, s)) GROUP BY doc_id
+),
+holders AS (SELECT host, norm, count(DISTINCT t) AS held FROM filled GROUP BY ALL),
+hosts AS (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host),
+lost AS (
+  SELECT doc_id, sum(n)::BIGINT AS boilerplate_words
+  FROM filled JOIN holders USING (host, norm) JOIN hosts USING (host) WHERE held > 20 AND held > texts * 0.1 GROUP BY doc_id
+),
+counts AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(boilerplate_words, 0)::BIGINT AS boilerplate_words
+  FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND boilerplate_words <= 0.8 * n_words AS kept
+FROM counts
+"""
