@@ -8,8 +8,10 @@ grouping; for the distinct ones each shard builds a suffix array by induced sort
 classified, leftmost-smaller substrings sorted, the rest induced) and the common prefixes in text
 order. Neighbours that share ``length`` bytes form groups of equal strings, of which the first stays.
 
-A seed with more than ``shard_bytes`` of distinct segments is dealt to several shards; each settles
-its own strings, and the first of each shard are then compared across shards by 128 bits.
+A seed may have any number of distinct segments (a passage in many documents, with other neighbours
+in each). Where they exceed ``shard_bytes`` they are narrowed: strings at nearby offsets from the seed
+form cells, and the bytes that all strings of a cell share become part of the shard's key. Each level
+has narrower cells; equal pieces are told by grouping again, and what is alone in its shard is done.
 
 Edge cases: a null text is empty; a text shorter than ``length`` loses nothing; a null id sorts after
 every other; repeated rows get equal rows and don't remove each other; an empty table gives no rows;
@@ -32,8 +34,10 @@ from riskloom.llm.suffixes import common_prefixes, suffix_array
 GRAM_STEPS, SLICE = 5, 1 << 18
 GRAM = 1 << GRAM_STEPS
 SEEDS = "row_key long, text_key long, seed long, n int"
-SEGMENTS = "row_key long, text_key long, seed long, start long, strings long, high long, low long, content binary"
-LOST = "row_key long, text_key long, start long, strings long, high long, low long"
+SEGMENTS = "row_key long, text_key long, shard long, lead long, start long, strings long, high long, low long, content binary"
+LOST = "row_key long, text_key long, start long, strings long"
+#: Cells of the levels of narrowing, in strings; a cell of one string holds nothing but copies.
+CELLS = (18, 5, 1)
 RESULT = "row_key long, text_key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed string"
 
 
@@ -115,25 +119,61 @@ def _segments(length):
                 counts = np.add.reduceat(good.astype(np.int64), starts)
                 ends = starts + counts + length - 1
                 seed, doc = grams[places[starts]], owner[starts]
-                one, two = (lane.words(data, starts, ends) for lane in (FIRST, SECOND))
-                raw = data.tobytes()
-                of = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("row_key").take(of), rows.column("text_key").take(of), pa.array(seed.view(np.int64)),
-                        pa.array(starts - bounds[doc]), pa.array(counts), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                        pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary()),
-                    ],
-                    names=[x.split()[0] for x in SEGMENTS.split(", ")],
-                )
+                yield _pieces(rows, data, doc, starts, counts, ends, seed, places[starts] - starts, starts - bounds[doc])
+
+    return run
+
+
+def _pieces(rows, data, of, begin, counts, end, shard, lead, start):
+    """A batch of ``SEGMENTS``: bytes begin..end of ``data``, with a digest of 128 bits."""
+    one, two = (lane.words(data, begin, end) for lane in (FIRST, SECOND))
+    raw, of = data.tobytes(), pa.array(of)
+    return pa.RecordBatch.from_arrays(
+        [
+            rows.column("row_key").take(of), rows.column("text_key").take(of), pa.array(shard.view(np.int64)), pa.array(lead), pa.array(start),
+            pa.array(counts), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+            pa.array([raw[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()),
+        ],
+        names=[x.split()[0] for x in SEGMENTS.split(", ")],
+    )
+
+
+def _cells(length, width):
+    """Pieces of segments, one for each cell of ``width`` offsets from the seed; a new shard for each.
+
+    All strings of a cell hold the bytes from the cell's last offset to the end of its first string.
+    """
+    reach = length - GRAM  # offsets go from -reach to 0
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = batch.column("content").to_pylist()
+            data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+            begins = np.concatenate([[0], np.cumsum([len(x) for x in parts])[:-1]])
+            lead, start, strings = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lead", "start", "strings"))
+            shard = batch.column("shard").to_numpy(zero_copy_only=False).view(np.uint64)
+            low = (reach - lead) // width
+            count = (reach - lead + strings - 1) // width - low + 1
+            of = np.repeat(np.arange(len(parts)), count)
+            cell = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            first = np.maximum(cell * width, reach - lead[of]) - (reach - lead[of])  # strings of the segment
+            last = np.minimum(cell * width + width - 1, reach - lead[of] + strings[of] - 1) - (reach - lead[of])
+            begin, end = begins[of] + first, begins[of] + last + length
+            # bytes that all strings of the cell share, from the segment's begin
+            shared = begins[of] + lead[of] - reach
+            key = FIRST.words(data, shared + np.minimum(cell * width + width - 1, reach), shared + cell * width + length)
+            key = mix(key ^ mix(shard[of] + mix(cell.astype(np.uint64) + np.uint64(width * 1000))))
+            yield _pieces(batch, data, of, begin, last - first + 1, end, key, lead[of] - first, start[of] + first)
 
     return run
 
 
-def settle(parts, row, start, partial, length):
-    """Strings of ``parts`` (segments; their rows and places) with an equal one earlier, by a suffix array.
+def settle(parts, row, start, length):
+    """``(segment, offset)`` of the strings of ``parts`` that have an equal one earlier, by a suffix array.
 
-    Returns ``(segment, offset)`` of those, and of the first of each group in segments that are ``partial``.
+    ``parts`` are segments; ``row`` and ``start`` tell where each stands.
     """
     sizes = np.array([len(p) for p in parts])
     text = np.frombuffer(b"\xff".join(parts) + b"\xff", dtype=np.uint8)  # 0xff is in no UTF-8 text
@@ -152,38 +192,30 @@ def settle(parts, row, start, partial, length):
     head = np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
     place = start[segment] + offset
     later = (row[segment] != row[segment[head]]) | (place != place[head])
-    ahead = ~later & partial[segment]
-    return (segment[later], offset[later]), (segment[ahead], offset[ahead])
+    return segment[later], offset[later]
 
 
 def _shards(length, chunk_bytes):
     def solve(rows):
-        shard, row, text, start, partial, parts = (list(c) for c in zip(*rows))
-        row, text, start, partial = np.array(row), np.array(text), np.array(start), np.array(partial)
-        (segment, offset), (own, at) = settle(parts, row, start, partial, length)
+        _, row, text, start, parts = (list(c) for c in zip(*rows))
+        row, text, start = np.array(row), np.array(text), np.array(start)
+        segment, offset = settle(parts, row, start, length)
         order = np.lexsort((offset, segment))
         segment, offset = segment[order], offset[order]
         head = np.ones(len(segment), dtype=bool)
         head[1:] = (segment[1:] != segment[:-1]) | (offset[1:] != offset[:-1] + 1)
         head = np.flatnonzero(head)
         size = np.diff(np.append(head, len(segment)))
-        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
-        begin = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])[own] + at
-        high, low = (lane.words(data, begin, begin + length).view(np.int64) if len(own) else np.empty(0, np.int64) for lane in (FIRST, SECOND))
-        whose, from_, count = np.concatenate([segment[head], own]), np.concatenate([offset[head], at]), np.concatenate([size, np.ones(len(own), np.int64)])
-        none = pa.nulls(len(head), pa.int64())
+        whose = segment[head]
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(row[whose]), pa.array(text[whose]), pa.array(start[whose] + from_), pa.array(count),
-                pa.concat_arrays([none, pa.array(high)]), pa.concat_arrays([none, pa.array(low)]),
-            ],
+            [pa.array(row[whose]), pa.array(text[whose]), pa.array(start[whose] + offset[head]), pa.array(size)],
             names=[x.split()[0] for x in LOST.split(", ")],
-        )
+        )
 
     def run(batches):
         rows, size = [], 0
         for batch in batches:
-            for new in zip(*(batch.column(c).to_pylist() for c in ("shard", "row_key", "text_key", "start", "partial", "content"))):
+            for new in zip(*(batch.column(c).to_pylist() for c in ("shard", "row_key", "text_key", "start", "content"))):
                 if size >= chunk_bytes and new[0] != rows[-1][0]:
                     yield solve(rows)
                     rows, size = [], 0
@@ -227,6 +259,18 @@ def _kept(length):
     return run
 
 
+def _told_apart(pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Equal pieces of a shard: the later ones (all their strings go), and the first of each."""
+    spark, hashes = pieces.sparkSession, ["shard", "high", "low"]
+    owners = pieces.groupBy(*hashes).agg(F.min(F.struct("row_key", "start")).alias("owner"), F.count("*").alias("n"))
+    owners = owners.filter("n > 1").select(*hashes, F.col("owner.row_key").alias("owner"), F.col("owner.start").alias("place"))
+    owners = stored(spark, owners, "piece-owners")
+    bare = pieces.select(*KEYS, *hashes, "start", "strings")
+    later = bare.join(owners, hashes).filter("row_key > owner or row_key = owner and start > place").select(*KEYS, "start", "strings")
+    firsts = pieces.join(owners, hashes, "left").filter("owner is null or row_key = owner and start = place")
+    return later, stored(spark, firsts.select(*KEYS, "shard", "lead", "start", "strings", "content"), "distinct-pieces")
+
+
 def repeated_strings(texts: DataFrame, length: int = 100, shard_bytes: int = 1 << 21, chunk_bytes: int = 1 << 20) -> DataFrame:
     """``row_key, text_key, removed (runs of strings with an earlier equal one), whole (a copy of a smaller id)``."""
     spark = texts.sparkSession
@@ -236,30 +280,24 @@ def repeated_strings(texts: DataFrame, length: int = 100, shard_bytes: int = 1 <
     spots = seeds.drop("n").join(live, "seed").groupBy(*KEYS).agg(F.collect_set("seed").alias("seeds"))
     spots = spots.join(whole, KEYS, "left_anti")
     segments = texts.join(spots, KEYS).select(*KEYS, "text", "seeds").mapInArrow(_segments(length), SEGMENTS)
-    segments = stored(spark, segments, "segments")
-    hashes = ["seed", "high", "low"]
-    owners = segments.groupBy(*hashes).agg(F.min(F.struct("row_key", "start")).alias("owner"), F.count("*").alias("n"))
-    owners = stored(spark, owners.filter("n > 1").select(*hashes, F.col("owner.row_key").alias("owner"), F.col("owner.start").alias("place")), "segment-owners")
-    bare = segments.select(*KEYS, *hashes, "start", "strings")
-    later = bare.join(owners, hashes).filter("row_key > owner or row_key = owner and start > place").select(*KEYS, "start", "strings")
-    firsts = segments.join(owners, hashes, "left").filter("owner is null or row_key = owner and start = place")
-    firsts = stored(spark, firsts.select(*KEYS, "seed", "start", "content"), "distinct-segments")
-    sizes = firsts.groupBy("seed").agg(F.sum(F.length("content")).alias("bytes"))
-    large = stored(spark, sizes.filter(F.col("bytes") > shard_bytes).select("seed", F.ceil(F.col("bytes") / shard_bytes).alias("shards")), "large-seeds")
-    dealt = firsts.join(large, "seed", "left").select(
-        *KEYS, "start", "content",
-        F.col("shards").isNotNull().alias("partial"),
-        F.when(F.col("shards").isNull(), F.col("seed")).otherwise(F.xxhash64("seed", F.pmod(F.xxhash64("content"), F.col("shards")))).alias("shard"),
-    )
-    settled = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(_shards(length, chunk_bytes), LOST)
-    settled = stored(spark, settled, "settled-strings")
-    across = settled.filter("high is not null")
-    heads = across.groupBy("high", "low").agg(F.min(F.struct("row_key", "start")).alias("owner"), F.count("*").alias("n")).filter("n > 1")
-    heads = stored(spark, heads.select("high", "low", F.col("owner.row_key").alias("owner"), F.col("owner.start").alias("place")), "string-owners")
-    across = across.join(heads, ["high", "low"]).filter("row_key > owner or row_key = owner and start > place")
-    run = [*KEYS, "start", "strings"]
-    lost = later.union(settled.filter("high is null").select(*run)).union(across.select(*run))
-    lost = lost.groupBy(*KEYS).agg(F.collect_set(F.struct("start", "strings")).alias("removed"))
+    lost, firsts = _told_apart(stored(spark, segments, "segments"))
+    ready = None
+    for width in CELLS:
+        sizes = firsts.groupBy("shard").agg(F.sum(F.length("content")).alias("bytes"))
+        large = stored(spark, sizes.filter(F.col("bytes") > shard_bytes).select("shard"), "large-shards")
+        if not large.take(1):
+            break
+        small = firsts.join(large, "shard", "left_anti")
+        ready = small if ready is None else ready.union(small)
+        pieces = stored(spark, firsts.join(large, "shard").mapInArrow(_cells(length, width), SEGMENTS), "pieces")
+        later, firsts = _told_apart(pieces)
+        lost = lost.union(later)
+        shared = firsts.groupBy("shard").agg(F.count("*").alias("n")).filter("n > 1").select("shard")
+        firsts = firsts.join(stored(spark, shared, "shared-shards"), "shard").select(*firsts.columns)
+    ready = firsts if ready is None else ready.union(firsts)
+    shards = ready.select("shard", *KEYS, "start", "content").repartition("shard").sortWithinPartitions("shard")
+    settled = stored(spark, shards.mapInArrow(_shards(length, chunk_bytes), LOST), "settled-strings")
+    lost = lost.union(settled).groupBy(*KEYS).agg(F.collect_set(F.struct("start", "strings")).alias("removed"))
     return lost.join(whole.withColumn("whole", F.lit(True)), KEYS, "full")
 
 
