@@ -28,17 +28,23 @@ def json_extract(
 ) -> DataFrame:
     """Typed columns from a JSON object column.
 
-    ``fields`` maps output name -> (exact JSON key, Spark type). ``json_tuple`` reads all keys in
-    a single pass over the text; as a generator it is never copied into the expressions above
-    it, as ``from_json`` would be, once per field. Each text is cast with ``try_cast``, so a
-    malformed value becomes NULL instead of failing the job.
+    ``fields`` maps output name -> (exact JSON key, Spark type). The object is parsed once, into a
+    struct of texts, whatever the number of fields: as a generator the parse is never copied into
+    the expressions or filters above it. Each text is cast with ``try_cast``, so a malformed value
+    becomes NULL instead of failing the job, and so does every field of a malformed object.
     """
     keys = list(dict.fromkeys(key for key, _ in fields.values()))
-    texts = {key: f"_text{i}" for i, key in enumerate(keys)}
     carried = [column if isinstance(column, Column) else F.col(column) for column in keep]
-    read = df.select(*carried, F.json_tuple(payload, *keys).alias(*texts.values()))
+    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
+    read = df.select(*carried, F.inline(F.array(F.from_json(payload, schema))))
     kept = read.columns[: len(carried)]
+    texts = dict(zip(keys, (f"_text{i}" for i in range(len(keys)))))
+    read = read.toDF(*kept, *texts.values())
     return read.select(
-        *kept,
+        *[_named(name) for name in kept],
         *[F.col(texts[key]).try_cast(kind).alias(name) for name, (key, kind) in fields.items()],
     )
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -25,50 +25,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-HASHES = """
-o_orderkey | o_custkey | o_orderdate AS ts
-(o_orderkey * 7919 + o_custkey * 31) % 1000 AS h1
-(o_orderkey * 104729 + 17) % 1000 AS h2
-(o_orderkey * 1299709 + o_custkey * 101) % 1000 AS h3
-(o_custkey * 15485863 + 7) % 1000 AS h4
-"""
-RISK = """
-CASE WHEN h1 < 400 THEN 0L WHEN h1 < 750 THEN 330L WHEN h1 < 930 THEN 660L ELSE 1000L END + h2 % 80 AS rf
-int(30 + h4 % 66) AS age
-"""
-MEASURES = """
-h1 | h2 | h3 | concat('P', o_custkey) AS patient_id | concat('E', o_orderkey) AS encounter_id | ts | age
-CASE WHEN h4 % 25 = 0 THEN 'Other' WHEN h4 % 2 = 0 THEN 'M' ELSE 'F' END AS gender
-double(160 + h3 % 250) / 10D AS bmi
-int(64 + age % 30 + (rf * 25) div 1000) AS heart_rate
-int(108 + age % 40 + (rf * 35) div 1000) AS systolic_bp
-int(70 + age % 20 + (rf * 15) div 1000) AS diastolic_bp
-double(366 + (rf * 12) div 1000 + h2 % 5) / 10D AS temperature
-int(15 + h3 % 3 + (rf * 8) div 1000) AS respiratory_rate
-double(985 - (rf * 80) div 1000 - h2 % 10) / 10D AS oxygen_saturation
-double(930 + (rf * 1200) div 1000 + h3 % 150) / 10D AS glucose_level
-double(90 + (rf * 250) div 1000 + h2 % 20) / 100D AS creatinine
-double(145 - (rf * 50) div 1000 - h3 % 10) / 10D AS hemoglobin
-double(65 + (rf * 100) div 1000 + h2 % 20) / 10D AS wbc_count
-array('I10','E11','J44','I25','N18','I50','J18','A41','K92','I63')[int(h3 % 10)] AS primary_diagnosis
-int(h3 % 3 + (rf * 3) div 1000) AS comorbidity_count
-CASE WHEN h2 < 450 THEN 'Emergency' WHEN h2 < 800 THEN 'Urgent' ELSE 'Elective' END AS admission_type
-CASE WHEN h4 % 20 < 8 THEN 'Private' WHEN h4 % 20 < 13 THEN 'Medicare' WHEN h4 % 20 < 18 THEN 'Medicaid' ELSE 'Uninsured' END AS insurance_type
-int(h2 % 2 + (rf * 2) div 1000) AS previous_admissions
-int(5 + h1 % 6) AS medication_count
-"""
-
-
-def _expressions(text: str) -> list[str]:
-    return [part.strip() for line in text.strip().splitlines() for part in line.split(" | ")]
+# --- fixed values: diagnosis codes of the encounter model ------------------------------------
+DIAGNOSES = ["I10", "E11", "J44", "I25", "N18", "I50", "J18", "A41", "K92", "I63"]
+# ---------------------------------------------------------------------------------------------
+_DIAGNOSES = ", ".join(f"'{code}'" for code in DIAGNOSES)
+
+HASHES = [
+    "o_orderkey",
+    "o_custkey",
+    "o_orderdate AS ts",
+    "(o_orderkey * 7919 + o_custkey * 31) % 1000 AS h1",
+    "(o_orderkey * 104729 + 17) % 1000 AS h2",
+    "(o_orderkey * 1299709 + o_custkey * 101) % 1000 AS h3",
+    "(o_custkey * 15485863 + 7) % 1000 AS h4",
+]
+RISK = [
+    "CASE WHEN h1 < 400 THEN 0L WHEN h1 < 750 THEN 330L WHEN h1 < 930 THEN 660L ELSE 1000L END + h2 % 80 AS rf",
+    "int(30 + h4 % 66) AS age",
+]
+MEASURES = [
+    "h1",
+    "h2",
+    "h3",
+    "concat('P', o_custkey) AS patient_id",
+    "concat('E', o_orderkey) AS encounter_id",
+    "ts",
+    "age",
+    "CASE WHEN h4 % 25 = 0 THEN 'Other' WHEN h4 % 2 = 0 THEN 'M' ELSE 'F' END AS gender",
+    "double(160 + h3 % 250) / 10D AS bmi",
+    "int(64 + age % 30 + (rf * 25) div 1000) AS heart_rate",
+    "int(108 + age % 40 + (rf * 35) div 1000) AS systolic_bp",
+    "int(70 + age % 20 + (rf * 15) div 1000) AS diastolic_bp",
+    "double(366 + (rf * 12) div 1000 + h2 % 5) / 10D AS temperature",
+    "int(15 + h3 % 3 + (rf * 8) div 1000) AS respiratory_rate",
+    "double(985 - (rf * 80) div 1000 - h2 % 10) / 10D AS oxygen_saturation",
+    "double(930 + (rf * 1200) div 1000 + h3 % 150) / 10D AS glucose_level",
+    "double(90 + (rf * 250) div 1000 + h2 % 20) / 100D AS creatinine",
+    "double(145 - (rf * 50) div 1000 - h3 % 10) / 10D AS hemoglobin",
+    "double(65 + (rf * 100) div 1000 + h2 % 20) / 10D AS wbc_count",
+    f"array({_DIAGNOSES})[int(h3 % 10)] AS primary_diagnosis",
+    "int(h3 % 3 + (rf * 3) div 1000) AS comorbidity_count",
+    "CASE WHEN h2 < 450 THEN 'Emergency' WHEN h2 < 800 THEN 'Urgent' ELSE 'Elective' END AS admission_type",
+    "CASE WHEN h4 % 20 < 8 THEN 'Private' WHEN h4 % 20 < 13 THEN 'Medicare' WHEN h4 % 20 < 18 THEN 'Medicaid' ELSE 'Uninsured' END AS insurance_type",
+    "int(h2 % 2 + (rf * 2) div 1000) AS previous_admissions",
+    "int(5 + h1 % 6) AS medication_count",
+]
 
 
 def encounters_from_orders(orders: DataFrame) -> DataFrame:
     """The encounter columns plus the hash columns h1..h3 that the variants need."""
     return (
-        orders.selectExpr(*_expressions(HASHES))
-        .selectExpr("*", *_expressions(RISK))
-        .selectExpr(*_expressions(MEASURES))
+        orders.selectExpr(*HASHES)
+        .selectExpr("*", *RISK)
+        .selectExpr(*MEASURES)
         .select("*", risk_score().alias("score"))
         .select("*", risk_label("score").alias("risk_level"))
     )
