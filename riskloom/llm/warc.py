@@ -230,8 +230,15 @@ def resolve_revisits(pages: DataFrame) -> DataFrame:
 
 
 def dictionary_of(pages: DataFrame, sample: int = 256) -> bytes:
-    """A dictionary trained on the ``sample`` pages with the least hashes of their ids."""
-    rows = pages.filter("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select("html").collect()
+    """A dictionary trained on the ``sample`` pages with the least hashes of their ids.
+
+    The ids are chosen first, so a task sends no page to the driver that isn't in the sample.
+    """
+    filled = pages.filter("html is not null and page_id is not null")
+    ids = [r[0] for r in filled.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()]
+    if not ids:
+        return train_dictionary([])
+    rows = filled.filter(F.col("page_id").isin(ids)).select("html").limit(sample).collect()
     return train_dictionary([r["html"].encode() for r in rows if r["html"]])
 
 
