@@ -4,7 +4,9 @@ Method (count-vector R-tree): the word shingles of a document are hashed; their
 are its point. The overlap of two sets is at most the sum of the coordinate minima of their points,
 and for whole tree nodes that of the nodes' coordinate maxima. With a similarity of 0.8 two sets of
 sizes m and n must overlap in 4/9 (m + n) shingles at least; what can't is pruned, what survives is
-verified on the whole sets.
+verified on the whole sets. For single points the parities of counts over 512 finer groups bound once
+more: every group where they differ holds a shingle that only one of the sets has, and there may be
+(m + n) / 9 of those.
 
 The forest's top level splits on single shingles: of each set only the rarest fifth (and one more)
 is looked at, because without one of these in common the minima over the rest stay below the bound.
@@ -13,8 +15,8 @@ entries, since each needs its share of all rows. So each tree holds the document
 shingle, and the lower levels bound whole groups of them by size and counts.
 
 Links only have to be found as far as they join components: first each document is compared with one
-centre of each tree, then, within trees that still hold several components, all pairs of nodes
-that aren't of one component, until no pair is left. Trees of more than ``tile`` documents are dealt
+centre of each tree; then each component with its likeliest partners; then, within trees that still
+hold several components, all pairs of nodes that aren't of one component, so that none is left out. Trees of more than ``tile`` documents are dealt
 to several tasks, pair of parts by pair of parts. Documents with equal sets are one point.
 
 Edge cases: a null text, or one without words, has no shingles and is linked with nothing; with fewer
@@ -34,7 +36,7 @@ from riskloom.llm.frames import keyed, named, stored
 from riskloom.llm.graph import components
 from riskloom.llm.repeats import KEYS
 
-SHINGLE, GROUPS, FULL, FAN = 5, 64, 255, 8
+SHINGLE, GROUPS, FINE, FULL, FAN = 5, 64, 512, 255, 8
 POINTS = "row_key long, text_key long, n long, point long, counts binary"
 ENTRIES = "shingle long, point long"
 
@@ -75,6 +77,8 @@ def _points(batches):
             point, size = _identity(hashes, owner, n)
             cells = np.bincount(owner * GROUPS + (hashes >> np.uint64(58)).astype(np.int64), minlength=n * GROUPS)
             cells = np.minimum(cells, FULL).astype(np.uint8).reshape(n, GROUPS)
+            fine = np.bincount(owner * FINE + (hashes >> np.uint64(40)).astype(np.int64) % FINE, minlength=n * FINE)
+            cells = np.concatenate([cells, np.packbits((fine & 1).astype(np.uint8).reshape(n, FINE), axis=1)], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("row_key"), rows.column("text_key"), pa.array(size.astype(np.int64)), pa.array(point.view(np.int64)), pa.array([c.tobytes() for c in cells], pa.binary())],
                 names=["row_key", "text_key", "n", "point", "counts"],
@@ -109,13 +113,15 @@ def _entries(shared=None):
 
 
 def _vectors(column):
-    """Counts as a matrix; a full cell bounds nothing."""
-    flat = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, GROUPS).astype(np.int32)
-    return np.where(flat == FULL, 1 << 20, flat)
+    """Counts as a matrix (a full cell bounds nothing), and the parities of the finer ones in 64-bit words."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, GROUPS + FINE // 8)
+    counts = flat[:, :GROUPS].astype(np.int32)
+    return np.where(counts == FULL, 1 << 20, counts), np.ascontiguousarray(flat[:, GROUPS:]).view(np.uint64)
 
 
-def _may_link(m, n, bound):
-    return (9 * bound >= 4 * (m + n)) & (5 * np.minimum(m, n) >= 4 * np.maximum(m, n))
+def _differ(a, b):
+    """In how many fine groups the parities differ: so many shingles at least are in one set only."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
 def _bounded(batches):
@@ -123,14 +129,16 @@ def _bounded(batches):
         if not batch.num_rows:
             continue
         m, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-        bound = np.minimum(_vectors(batch.column("counts_a")), _vectors(batch.column("counts_b"))).sum(axis=1)
-        yield batch.select(["a", "b"]).filter(pa.array(_may_link(m, n, bound)))
+        (a, odd_a), (b, odd_b) = (_vectors(batch.column(c)) for c in ("counts_a", "counts_b"))
+        good = (9 * np.minimum(a, b).sum(axis=1) >= 4 * (m + n)) & (9 * _differ(odd_a, odd_b) <= m + n)
+        yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
 class Forest:
     """R-trees over rows that are in order of their tree, packed ``FAN`` to a node by size."""
 
-    def __init__(self, tree, size, vectors, component):
+    def __init__(self, tree, size, vectors, parities, component):
+        self.parities = parities
         self.levels = [(np.arange(len(tree)), np.arange(len(tree)) + 1, vectors, size, size, component, component, tree)]
         while len(self.levels[-1][0]) > len(np.unique(self.levels[-1][7])):
             _, _, most, low, high, least, last, owner = self.levels[-1]
@@ -155,6 +163,8 @@ class Forest:
             a, b = i[at : at + block], j[at : at + block]
             bound = np.minimum(most[a], most[b]).sum(axis=1)
             keep[at : at + block] = 9 * bound >= 4 * (low[a] + low[b])
+            if level == 0:
+                keep[at : at + block] &= 9 * _differ(self.parities[a], self.parities[b]) <= low[a] + low[b]
         return i[keep], j[keep]
 
     def pairs(self, part=1 << 18):
@@ -182,16 +192,34 @@ class Forest:
                 work.append((level - 1, *self._keep(level - 1, a[ordered], b[ordered])))
 
 
-def _forests(chunk=100_000):
+def _top(roots, score, keep):
+    """Positions of the ``keep`` best of each root."""
+    order = np.lexsort((-score, roots))
+    begin = np.searchsorted(roots[order], roots[order])
+    return order[np.arange(len(order)) - begin < keep]
+
+
+def _forests(best: int | None = None, chunk: int = 100_000):
+    """Pairs of points that may link; with ``best`` only that many for each component of a chunk."""
+
     def solve(rows):
-        tree, size, component, point, vectors = (np.concatenate(x) for x in zip(*rows))
-        order = np.lexsort((point, size, tree))
-        tree, size, component, point, vectors = tree[order], size[order], component[order], point[order], vectors[order]
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for i, j in Forest(tree, size, vectors, component).pairs():
-            a.append(point[i])
-            b.append(point[j])
-        a, b = np.concatenate(a), np.concatenate(b)
+        columns = [np.concatenate(x) for x in zip(*rows)]
+        order = np.lexsort((columns[3], columns[1], columns[0]))
+        tree, size, component, point, vectors, parities = (c[order] for c in columns)
+        found = np.empty((3, 0))
+
+        def likeliest(i, j, score):
+            both = np.concatenate([_top(component[i], score, best), _top(component[j], score, best)])
+            return np.unique(both)
+
+        for i, j in Forest(tree, size, vectors, parities, component).pairs():
+            score = np.minimum(vectors[i], vectors[j]).sum(axis=1) / (size[i] + size[j]) if best else np.zeros(len(i))
+            found = np.concatenate([found, np.stack([i, j, score])], axis=1)
+            if best:
+                i, j = found[:2].astype(np.int64)
+                found = found[:, likeliest(i, j, found[2])]
+        i, j = found[:2].astype(np.int64)
+        a, b = point[i], point[j]
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
@@ -201,16 +229,16 @@ def _forests(chunk=100_000):
             if not batch.num_rows:
                 continue
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "n", "root", "point")]
-            vectors = _vectors(batch.column("counts"))
+            columns += _vectors(batch.column("counts"))
             # a tree is never cut: what is complete is solved, the last tree waits for more
             edge = int(np.searchsorted(columns[0], columns[0][-1]))
             if size + edge >= chunk and (edge or columns[0][0] != rows[-1][0][-1]):
                 if edge:
-                    rows.append((*(c[:edge] for c in columns), vectors[:edge]))
+                    rows.append([c[:edge] for c in columns])
                 yield solve(rows)
-                rows, size, columns, vectors = [], 0, [c[edge:] for c in columns], vectors[edge:]
-            rows.append((*columns, vectors))
-            size += len(vectors)
+                rows, size, columns = [], 0, [c[edge:] for c in columns]
+            rows.append(columns)
+            size += len(columns[0])
         if rows:
             yield solve(rows)
 
@@ -311,13 +339,16 @@ class _Join:
         roots = self.store(components(links), "components")
         links = links.union(self.verified(self.across(stars, roots), packed))
         roots = self.store(components(links), "components")
-        pairs = self.store(self.tree_pairs(entries, roots).join(stars, ["a", "b"], "left_anti"), "tree-pairs")
-        if pairs.take(1):
-            links = links.union(self.verified(pairs, self.packed(pairs)))
-            roots = self.store(components(links), "components")
+        tried = stars
+        for best in (2, None):
+            pairs = self.store(self.tree_pairs(entries, roots, best).join(tried, ["a", "b"], "left_anti"), "tree-pairs")
+            if pairs.take(1):
+                links = links.union(self.verified(pairs, self.packed(pairs)))
+                roots = self.store(components(links), "components")
+            tried = tried.union(pairs)
         return members, links, roots
 
-    def tree_pairs(self, entries, roots):
+    def tree_pairs(self, entries, roots, best):
         """Pairs that may link, of the trees that hold several components."""
         rows = entries.join(roots.withColumnRenamed("node", "point"), "point", "left").select("shingle", "point", F.coalesce("root", "point").alias("root"))
         sizes = rows.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).filter("x < y")
@@ -331,7 +362,7 @@ class _Join:
             .select("tree", "point", "root")
             .join(self.points.select("point", "n", "counts"), "point")
         )
-        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(), PAIR).distinct()
+        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(best), PAIR).distinct()
 
 
 def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int = 64, tile: int = 4096) -> DataFrame:
