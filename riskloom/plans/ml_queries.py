@@ -187,7 +187,7 @@ def score_batch(spark, sf_dir):
 @query(
     "evaluate_and_promote",
     over_p(
-        f"""SELECT metric_name, passed, reason, 'v_20240101_000000' AS default_version, n AS test_size, 25 AS logged
+        f"""SELECT metric_name, passed, reason, 'v_20240101_000000' AS default_version, n AS test_size, 26 AS logged
             FROM (VALUES ('accuracy', true, CAST(NULL AS VARCHAR)), ('f1_macro', true, NULL), ('overall', true, NULL)) c(metric_name, passed, reason),
               (SELECT CAST(count(*) AS DOUBLE) AS n FROM p WHERE {_TEST})"""
     ),
