@@ -14,10 +14,12 @@ Shingles in very many documents come last in that order; the list of them has at
 entries, since each needs its share of all rows. So each tree holds the documents that share one
 shingle, and the lower levels bound whole groups of them by size and counts.
 
-Links only have to be found as far as they join components: first each document is compared with one
-centre of each tree; then each component with its likeliest partners; then, within trees that still
-hold several components, all pairs of nodes that aren't of one component, so that none is left out. Trees of more than ``tile`` documents are dealt
-to several tasks, pair of parts by pair of parts. Documents with equal sets are one point.
+Every pair that the bounds leave is verified, also within a group that is connected already, so the
+links are all links between different sets; components come from them. A pair that shares several
+shingles is taken from one of their trees where that can be told from the least ``HEADS`` shingles of
+each point. Trees of more than ``tile`` documents are dealt to several tasks, pair of parts by pair of
+parts. Documents with equal sets are one point. Pairs are verified in cells (block of one side, block of
+the other), so a point's text goes to a cell once, not once for each of its pairs.
 
 Edge cases: a null text, or one without words, has no shingles and is linked with nothing; with fewer
 than five words the whole sequence is one shingle; a null id sorts after every other; repeated rows
@@ -37,6 +39,7 @@ from riskloom.llm.graph import components
 from riskloom.llm.repeats import KEYS
 
 SHINGLE, GROUPS, FINE, FULL, FAN = 5, 64, 512, 255, 8
+HEADS, BLOCK, NONE = 8, 1024, (1 << 63) - 1
 POINTS = "row_key long, text_key long, n long, point long, counts binary"
 ENTRIES = "shingle long, point long"
 
@@ -124,22 +127,15 @@ def _differ(a, b):
     return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
 
 
-def _bounded(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        m, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-        (a, odd_a), (b, odd_b) = (_vectors(batch.column(c)) for c in ("counts_a", "counts_b"))
-        good = (9 * np.minimum(a, b).sum(axis=1) >= 4 * (m + n)) & (9 * _differ(odd_a, odd_b) <= m + n)
-        yield batch.select(["a", "b"]).filter(pa.array(good))
-
-
 class Forest:
-    """R-trees over rows that are in order of their tree, packed ``FAN`` to a node by size."""
+    """R-trees over rows that are in order of their tree, packed ``FAN`` to a node by size.
+
+    Rows of one ``side`` aren't paired: in a tile of two parts that is the part, else each row's own.
+    """
 
-    def __init__(self, tree, size, vectors, parities, component):
+    def __init__(self, tree, size, vectors, parities, side):
         self.parities = parities
-        self.levels = [(np.arange(len(tree)), np.arange(len(tree)) + 1, vectors, size, size, component, component, tree)]
+        self.levels = [(np.arange(len(tree)), np.arange(len(tree)) + 1, vectors, size, size, side, side, tree)]
         while len(self.levels[-1][0]) > len(np.unique(self.levels[-1][7])):
             _, _, most, low, high, least, last, owner = self.levels[-1]
             begin = np.searchsorted(owner, owner)
@@ -153,7 +149,7 @@ class Forest:
 
     def _keep(self, level, i, j, block=1 << 16):
         _, _, most, low, high, least, last, _ = self.levels[level]
-        good = (least[i] != last[i]) | (least[j] != last[j]) | (least[i] != least[j])  # not all of one component
+        good = (least[i] != last[i]) | (least[j] != last[j]) | (least[i] != least[j])  # not all of one side
         good &= (5 * high[i] >= 4 * low[j]) & (5 * high[j] >= 4 * low[i])
         if level == 0:
             good &= i != j
@@ -168,7 +164,7 @@ class Forest:
         return i[keep], j[keep]
 
     def pairs(self, part=1 << 18):
-        """Yield pairs of rows that may link, not of one component: level by level, a part at a time."""
+        """Yield pairs of rows that may link: level by level, a part at a time."""
         top = len(self.levels) - 1
         roots = np.arange(len(self.levels[top][0]))
         work = [(top, *self._keep(top, roots, roots))]
@@ -192,55 +188,46 @@ class Forest:
                 work.append((level - 1, *self._keep(level - 1, a[ordered], b[ordered])))
 
 
-def _top(roots, score, keep):
-    """Positions of the ``keep`` best of each root."""
-    order = np.lexsort((-score, roots))
-    begin = np.searchsorted(roots[order], roots[order])
-    return order[np.arange(len(order)) - begin < keep]
+def _canonical(shingle, heads_a, heads_b):
+    """Whether a pair belongs to this tree: the least of the heads both share, or any if they share none."""
+    least = np.full(len(shingle), NONE)
+    for k in range(HEADS):
+        shared = (heads_b == heads_a[:, k : k + 1]).any(axis=1) & (heads_a[:, k] != NONE)
+        least = np.minimum(least, np.where(shared, heads_a[:, k], NONE))
+    return (least == NONE) | (least == shingle)
 
 
-def _forests(best: int | None = None, chunk: int = 100_000):
-    """Pairs of points that may link; with ``best`` only that many for each component of a chunk."""
+def _forests(chunk: int = 100_000):
+    """Pairs of points that may link."""
 
     def solve(rows):
         columns = [np.concatenate(x) for x in zip(*rows)]
         order = np.lexsort((columns[3], columns[1], columns[0]))
-        tree, size, component, point, vectors, parities = (c[order] for c in columns)
-        found = np.empty((3, 0))
-
-        def likeliest(i, j, score):
-            both = np.concatenate([_top(component[i], score, best), _top(component[j], score, best)])
-            return np.unique(both)
-
-        for i, j in Forest(tree, size, vectors, parities, component).pairs():
-            score = np.minimum(vectors[i], vectors[j]).sum(axis=1) / (size[i] + size[j]) if best else np.zeros(len(i))
-            found = np.concatenate([found, np.stack([i, j, score])], axis=1)
-            if best:
-                i, j = found[:2].astype(np.int64)
-                found = found[:, likeliest(i, j, found[2])]
-        i, j = found[:2].astype(np.int64)
-        a, b = point[i], point[j]
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+        tree, size, side, point, shingle, heads, vectors, parities = (c[order] for c in columns)
+        for i, j in Forest(tree, size, vectors, parities, side).pairs():
+            own = _canonical(shingle[i], heads[i], heads[j])
+            a, b = point[i[own]], point[j[own]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     def run(batches):
         rows, size = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "n", "root", "point")]
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "n", "side", "point", "shingle")]
+            columns.append(np.frombuffer(b"".join(batch.column("heads").to_pylist()), dtype=">i8").astype(np.int64).reshape(-1, HEADS))
             columns += _vectors(batch.column("counts"))
             # a tree is never cut: what is complete is solved, the last tree waits for more
             edge = int(np.searchsorted(columns[0], columns[0][-1]))
             if size + edge >= chunk and (edge or columns[0][0] != rows[-1][0][-1]):
                 if edge:
                     rows.append([c[:edge] for c in columns])
-                yield solve(rows)
+                yield from solve(rows)
                 rows, size, columns = [], 0, [c[edge:] for c in columns]
             rows.append(columns)
             size += len(columns[0])
         if rows:
-            yield solve(rows)
+            yield from solve(rows)
 
     return run
 
@@ -254,25 +241,57 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("text_key"), texts], names=["row_key", "text_key", "packed"])
 
 
+def _overlaps(sets, a, b):
+    """How many hashes the sets ``a`` and ``b`` (positions, in order of ``a``) have in common."""
+    size = np.array([len(x) for x in sets])
+    edge = np.concatenate([[0], np.cumsum(size)])
+    terms = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark = np.zeros(len(terms) + 1, dtype=bool)
+    both = np.zeros(len(a), dtype=np.int64)
+    begin = np.flatnonzero(np.diff(a, prepend=-1))
+    for low, high in zip(begin, np.append(begin[1:], len(a))):
+        own = terms[edge[a[low]] : edge[a[low] + 1]]
+        mark[own] = True
+        for k in range(low, high):
+            both[k] = np.count_nonzero(mark[terms[edge[b[k]] : edge[b[k] + 1]]])
+        mark[own] = False
+    return size, both
+
+
 def _verify(batches):
+    """Links of each cell; its texts (rows without ``b``) come before its pairs."""
     import zstandard
 
     open_ = zstandard.ZstdDecompressor().decompress
-    last = (None, None)
-
-    def set_of(packed):
-        data = np.frombuffer(open_(packed), dtype=np.uint8)
-        return shingles(data, np.array([0, len(data)]))[0]
+    cell, names, sets, pairs = None, [], [], []
+
+    def solve():
+        if not pairs:
+            return
+        order = np.argsort(points := np.array(names, dtype=np.int64))
+        a, b = (order[np.searchsorted(points[order], x)] for x in (np.concatenate(c) for c in zip(*pairs)))
+        by = np.argsort(a, kind="stable")
+        a, b = a[by], b[by]
+        size, both = _overlaps(sets, a, b)
+        good = 100 * both >= 80 * (size[a] + size[b] - both)
+        yield pa.RecordBatch.from_arrays([pa.array(points[a[good]]), pa.array(points[b[good]])], names=["a", "b"])
 
     for batch in batches:
-        good = []
-        for a, left, right in zip(batch.column("a").to_pylist(), batch.column("packed_a"), batch.column("packed_b")):
-            if last[0] != a:
-                last = (a, set_of(left.as_buffer()))
-            other = set_of(right.as_buffer())
-            both = len(np.intersect1d(last[1], other, assume_unique=True))
-            good.append(100 * both >= 80 * (len(last[1]) + len(other) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+        cells = batch.column("cell").to_numpy(zero_copy_only=False)
+        edge = np.flatnonzero(np.diff(cells, prepend=cells[:1] - 1)) if len(cells) else []
+        for low, high in zip(edge, np.append(edge[1:], len(cells))):
+            if cells[low] != cell:
+                yield from solve()
+                cell, names, sets, pairs = cells[low], [], [], []
+            part = batch.slice(low, high - low)
+            texts = part.column("b").null_count
+            for point, packed in zip(part.column("a").slice(0, texts).to_pylist(), part.column("packed").slice(0, texts)):
+                data = np.frombuffer(open_(packed.as_buffer()), dtype=np.uint8)
+                names.append(point)
+                sets.append(shingles(data, np.array([0, len(data)]))[0])
+            if texts < len(part):
+                pairs.append([part.column(c).slice(texts).to_numpy(zero_copy_only=False) for c in "ab"])
+    yield from solve()
 
 
 PAIR = "a long, b long"
@@ -302,24 +321,16 @@ class _Join:
         texts = self.texts.mapInArrow(_pack, "row_key long, text_key long, packed binary")
         return self.store(texts.join(places, KEYS).select("point", "packed").dropDuplicates(["point"]), "packed-texts")
 
-    def verified(self, pairs, packed):
-        """The pairs that link; those of one ``a`` stand together, so its set is built once."""
-        left, right = (packed.select(F.col("point").alias(c), F.col("packed").alias(f"packed_{c}")) for c in "ab")
-        # b first: the join on a comes last and leaves its rows in order of a
-        return self.store(pairs.join(right, "b").join(left, "a").mapInArrow(_verify, PAIR), "links")
-
-    def bounded(self, pairs):
-        sides = (self.points.select(F.col("point").alias(c), F.col("n").alias(f"n_{c}"), F.col("counts").alias(f"counts_{c}")) for c in "ab")
-        joined = pairs
-        for side, c in zip(sides, "ab"):
-            joined = joined.join(side, c)
-        return joined.filter("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)").mapInArrow(_bounded, PAIR)
-
-    def across(self, pairs, roots):
-        """The pairs whose points aren't of one component yet."""
-        for c in "ab":
-            pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
-        return pairs.filter("coalesce(root_a, a) <> coalesce(root_b, b)").select("a", "b")
+    def verified(self, pairs):
+        """The pairs that link."""
+        packed = self.packed(pairs)
+        blocks = F.lit(max(1, -(-packed.count() // BLOCK)))
+        cell = F.pmod(F.xxhash64("a"), blocks) * blocks + F.pmod(F.xxhash64("b"), blocks)
+        placed = pairs.withColumn("cell", cell)
+        ends = placed.select("cell", F.explode(F.array("a", "b")).alias("point")).distinct()
+        texts = ends.join(packed, "point").select("cell", F.col("point").alias("a"), F.lit(None).cast("long").alias("b"), "packed")
+        rows = texts.unionByName(placed.withColumn("packed", F.lit(None).cast("binary")).select("cell", "a", "b", "packed"))
+        return self.store(rows.repartition("cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first()).mapInArrow(_verify, PAIR), "links")
 
     def run(self):
         members = self.store(self.texts.mapInArrow(_points, POINTS), "points")
@@ -327,49 +338,39 @@ class _Join:
         self.points = self.store(points.select("point", "n", "counts", "at.row_key", "at.text_key"), "distinct-points")
         hot = self.frequent()
         entries = self.texts.mapInArrow(_entries(hot), ENTRIES)
-        trees = entries.groupBy("shingle").agg(F.min("point").alias("centre"), F.max("point").alias("last")).filter("centre < last")
-        trees = self.store(trees.select("shingle", "centre"), "trees")
+        trees = entries.groupBy("shingle").agg(F.min("point").alias("first"), F.max("point").alias("last")).filter("first < last")
+        trees = self.store(trees.select("shingle"), "trees")
         entries = self.store(entries.join(trees, "shingle").distinct(), "tree-entries")
         hot.unpersist()
-        stars = entries.filter("point <> centre").select(F.col("centre").alias("a"), F.col("point").alias("b")).distinct()
-        stars = self.store(self.bounded(stars), "star-pairs")
-        packed = self.packed(stars)
-        nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        links = self.verified(nearest, packed)
-        roots = self.store(components(links), "components")
-        links = links.union(self.verified(self.across(stars, roots), packed))
-        roots = self.store(components(links), "components")
-        tried = stars
-        for best in (2, None):
-            pairs = self.store(self.tree_pairs(entries, roots, best).join(tried, ["a", "b"], "left_anti"), "tree-pairs")
-            if pairs.take(1):
-                links = links.union(self.verified(pairs, self.packed(pairs)))
-                roots = self.store(components(links), "components")
-            tried = tried.union(pairs)
-        return members, links, roots
-
-    def tree_pairs(self, entries, roots, best):
-        """Pairs that may link, of the trees that hold several components."""
-        rows = entries.join(roots.withColumnRenamed("node", "point"), "point", "left").select("shingle", "point", F.coalesce("root", "point").alias("root"))
-        sizes = rows.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")).filter("x < y")
-        sizes = self.store(sizes.select("shingle", F.ceil(F.col("size") / self.tile).cast("int").alias("parts")), "mixed-trees")
+        links = self.verified(self.store(self.tree_pairs(entries), "tree-pairs"))
+        return members, links, self.store(components(links), "components")
+
+    def tree_pairs(self, entries):
+        """All pairs that may link."""
+        sizes = entries.groupBy("shingle").agg(F.count("*").alias("size"))
+        sizes = self.store(sizes.select("shingle", F.ceil(F.col("size") / self.tile).cast("int").alias("parts")), "tree-sizes")
+        least = F.slice(F.sort_array(F.collect_list("shingle")), 1, HEADS)
+        heads = entries.groupBy("point").agg(least.alias("least"))
+        head = [F.unhex(F.lpad(F.hex(F.coalesce(F.get("least", F.lit(k)), F.lit(NONE))), 16, "0")) for k in range(HEADS)]
+        points = self.store(self.points.join(heads, "point").select("point", "n", "counts", F.concat(*head).alias("heads")), "tree-points")
         part = F.pmod(F.xxhash64("point"), F.col("parts")).cast("int")
         dealt = (
-            rows.join(sizes, "shingle")
+            entries.join(sizes, "shingle")
             .withColumn("part", part)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("tree", F.when(F.col("parts") == 1, F.col("shingle")).otherwise(F.xxhash64("shingle", F.least("part", "other"), F.greatest("part", "other"))))
-            .select("tree", "point", "root")
-            .join(self.points.select("point", "n", "counts"), "point")
+            # of two parts, only pairs across: those within a part have a tile of their own
+            .withColumn("side", F.when(F.col("part") == F.col("other"), F.col("point")).otherwise(F.col("part").cast("long")))
+            .select("tree", "shingle", "point", "side")
+            .join(points, "point")
         )
-        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(best), PAIR).distinct()
-
+        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(), PAIR).distinct()
 
 def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int = 64, tile: int = 4096) -> DataFrame:
     """One row per document: ``n_shingles``, ``component_id`` (the smallest doc_id it is linked with), ``n_links`` and
     ``component`` (one number for each component, also where ids repeat).
 
-    ``n_links`` counts the verified links of the document's set that were needed to join components.
+    ``n_links`` counts the other distinct sets that the document's set is linked with, all of them.
     """
     texts = keyed(docs)
     members, links, roots = _Join(texts, hot_limit, hot_least, tile).run()

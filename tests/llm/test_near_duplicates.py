@@ -56,3 +56,22 @@ def test_given(spark):
     got = tables.result(near_duplicates(docs), "doc_id", "n_shingles", "component_id")
     assert got == sorted(brute.components(rows), key=repr)
     assert any(r[0] != r[2] for r in got)
+
+
+def degrees(rows):
+    """For each row the other distinct sets at a similarity of 0.8 or more."""
+    sets = [brute.shingle_set(t) for _, t in rows]
+    linked = {a: sum(a != b and 100 * len(a & b) >= 80 * len(a | b) for b in set(sets) if b) if a else 0 for a in set(sets)}
+    return sorted(((d, linked[s]) for (d, _), s in zip(rows, sets)), key=repr)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"hot_least": 1, "tile": 3}])
+def test_all_links_are_counted(spark, sizes):
+    """A group of near copies, all linked with each other, and the awkward rows."""
+    from riskloom.llm.near_duplicates import near_duplicates
+
+    base = [f"w{i}" for i in range(120)]
+    rows = [(1000 + i, " ".join([*base, f"end{i}"])) for i in range(25)] + [(2000, " ".join(base)), (2001, " ".join(base))]
+    rows += tables.rows(5, 160)
+    got = tables.result(near_duplicates(tables.frame(spark, rows), **sizes), "doc_id", "n_links")
+    assert got == degrees(rows) and (1000, 25) in got
