@@ -3,8 +3,9 @@
 Method (guess-cost dynamic programming): a value is segmented into dictionary words, dates, repeats,
 keyboard walks and brute-force spans so that the product of the segments' guesses is least; values
 that cost at least ``least_bits`` bits are secrets of kind ``guess``. The cost works on the whole
-value, however long: segments other than brute force are at most ``LONGEST`` characters, so it is
-linear in the value's length.
+value, however long, and on repeats of any unit and walks of any length: maximal runs are found once,
+and of the starts within a run only those are kept that can still give the least cost. The unit of a
+repeat costs what its characters do, or where it begins as its run does, what guessing it costs.
 
 Edge cases: a null text is empty; a very long text is scanned whole; repeated rows give repeated
 rows; an empty table gives no rows; further columns are left out.
@@ -40,12 +41,12 @@ computer internet server database default changeme example sample token access p
 manager service account company office house family friend forever love angel money lucky happy""".split()
 #: Rows of a keyboard.
 ROWS = ["`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz"]
-LONGEST = 24
 DATE = re.compile(
     r"(?:(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d)"
 )
 RANK = {word: i + 1 for i, word in enumerate(COMMON)}
 NEXT = {(row[i], row[i + 1]) for row in ROWS for i in range(len(row) - 1)} | {(row[i + 1], row[i]) for row in ROWS for i in range(len(row) - 1)}
+LONGEST = max(map(len, RANK))
 LEET = str.maketrans("@4830159$7", "aaebolsgst")
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -56,11 +57,10 @@ def _alphabet(c: str) -> float:
 
 
 def _segments(value: str, start: int):
-    """``(end, bits, kind)`` of the segments other than brute force that begin at ``start``."""
-    stop = min(len(value), start + LONGEST)
-    low = value[start:stop].lower()
+    """``(end, bits, kind)`` of the words and dates that begin at ``start``."""
+    low = value[start : start + max(LONGEST, 10)].lower()
     plain = low.translate(LEET)
-    for size in range(3, len(low) + 1):
+    for size in range(3, min(len(low), LONGEST) + 1):
         rank = RANK.get(low[:size])
         if rank is None and (rank := RANK.get(plain[:size])) is not None:
             rank *= 4  # letters replaced by signs
@@ -69,16 +69,81 @@ def _segments(value: str, start: int):
     for size in (4, 6, 7, 8, 9, 10):
         if size <= len(low) and DATE.fullmatch(low[:size]):
             yield start + size, math.log2(200 if size == 4 else 200 * 365) + 2 * (size > 8), "date"
-    for unit in range(1, min(8, len(low) // 2) + 1):
-        size = unit
-        while low[size : size + unit] == low[:unit]:
-            size += unit
-            yield start + size, sum(map(_alphabet, low[:unit])) + math.log2(size // unit), "repeat"
-    size = 1
-    while size < len(low) and (low[size - 1], low[size]) in NEXT:
-        size += 1
-        if size >= 3:
-            yield start + size, math.log2(50) + math.log2(size), "walk"
+
+
+def _reach(low: str, i: int, j: int) -> int:
+    """How many characters from ``i`` on equal those from ``j > i`` on."""
+    size, step = 0, 1
+    while step:
+        if j + size + step <= len(low) and low[i + size : i + size + step] == low[j + size : j + size + step]:
+            size, step = size + step, step * 2
+        else:
+            step //= 2
+    return size
+
+
+def _repeats(low: str) -> list[tuple[int, int, int]]:
+    """``(start, end, unit)`` of all maximal repeats, each by its shortest unit.
+
+    One of a unit of p characters holds two neighbouring multiples of p.
+    """
+    back, n, found = low[::-1], len(low), {}
+    for unit in range(1, n // 2 + 1):
+        end = 0
+        for i in range(0, n - unit, unit):
+            if i + unit < end or low[i] != low[i + unit]:
+                continue
+            start = i + 1 - _reach(back, n - 1 - i - unit, n - 1 - i)
+            last = i + unit + _reach(low, i, i + unit)
+            if last - start >= 2 * unit:
+                found.setdefault((start, last), unit)
+                end = last
+    return [(start, end, unit) for (start, end), unit in found.items()]
+
+
+class _Run:
+    """A maximal stretch whose parts of ``least`` units or more are segments; a part of k units costs log2(k) above its unit."""
+
+    def __init__(self, start, end, unit, least, bits, first, kind):
+        self.start, self.end, self.unit, self.least, self.kind = start, end, unit, least, kind
+        self.bits, self.first, self.starts = bits, first, {}
+
+    def at(self, here, best):
+        """The cheapest ``(bits, begin)`` of a part that ends here."""
+        least, group = (math.inf, 0), (here - self.start) % self.unit
+        kept = self.starts.setdefault(group, [])
+        unit_bits = self.first if group == 0 else self.bits
+        for begin in kept:
+            k = (here - begin) // self.unit
+            if k >= self.least:
+                least = min(least, (best[begin][0] + unit_bits + math.log2(k) + 1, begin))
+        return least
+
+    def begin(self, here, best):
+        kept = self.starts.setdefault((here - self.start) % self.unit, [])
+        if here + self.least * self.unit > self.end:
+            return
+        # an earlier start that is no dearer at the first end stays so: its log2(k) grows more slowly
+        first = best[here][0] + math.log2(self.least)
+        if any(best[x][0] + math.log2((here - x) // self.unit + self.least) <= first for x in kept):
+            return
+        kept[:] = [x for x in kept if best[x][0] < best[here][0]] + [here]
+
+
+def _runs(value: str):
+    low = value.lower()
+    bits = [0.0]
+    for c in low:
+        bits.append(bits[-1] + _alphabet(c))
+    for start, end, unit in _repeats(low):
+        brute = bits[start + unit] - bits[start]
+        yield _Run(start, end, unit, 2, brute, min(brute, guess_cost(low[start : start + unit])[0]), "repeat")
+    start = 0
+    for i in range(1, len(low) + 1):
+        if i == len(low) or (low[i - 1], low[i]) not in NEXT:
+            if i - start >= 3:
+                yield _Run(start, i, 1, 3, math.log2(50), math.log2(50), "walk")
+            start = i
 
 
 @lru_cache(1 << 14)
@@ -86,7 +151,22 @@ def guess_cost(value: str) -> tuple[float, tuple[tuple[int, int, str], ...]]:
     """Bits to guess ``value``, and the segments of the cheapest reading."""
     n = len(value)
     best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
-    for i in range(n):
+    runs, opened, waiting = [], 0, []
+    if n > 1:
+        waiting = sorted(_runs(value), key=lambda r: r.start)
+    for i in range(n + 1):
+        while opened < len(waiting) and waiting[opened].start <= i:
+            runs.append(waiting[opened])
+            opened += 1
+        for run in runs:
+            bits, begin = run.at(i, best)
+            if bits < best[i][0]:
+                best[i] = (bits, begin, run.kind)
+        for run in runs:
+            run.begin(i, best)
+        runs = [run for run in runs if run.end > i]
+        if i == n:
+            break
         cost = best[i][0]
         # neighbouring brute-force characters are one segment: only its first character pays the 1
         step = cost + _alphabet(value[i]) + (best[i][2] != "brute")

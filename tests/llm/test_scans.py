@@ -34,6 +34,38 @@ def test_guess_cost():
     assert start == 0 and end < 5000  # brute force: 23,500
 
 
+def test_long_repeats_and_walks_are_cheap():
+    import math
+
+    from riskloom.llm.secrets import ROWS, guess_cost, guessed_spans
+
+    assert guess_cost("x" * 80)[0] == pytest.approx(math.log2(26) + math.log2(80) + 1)
+    assert guess_cost("=" * 4000)[0] == pytest.approx(math.log2(33) + math.log2(4000) + 1)
+    for value in ("x" * 80, "*" * 100, "1234567890" * 9, "f83kX0qL"[:3] * 60, ROWS[-1] * 3, "password2024" * 7):
+        assert guess_cost(value)[0] < 36 and not guessed_spans(f"secret: {value}", 36.0, 8), value
+    # one walk over a whole row, though it is longer than 24
+    assert guess_cost(ROWS[-1])[1] == ((0, 26, "walk"),)
+    unit = "f83kx0qlm2ztw9"
+    brute = guess_cost(unit)[0] - 1  # one segment pays 1, here the repeat
+    assert guess_cost(unit * 40)[0] == pytest.approx(brute + math.log2(40) + 1)
+
+
+def test_maximal_repeats():
+    from riskloom.llm.secrets import _repeats
+
+    for text in ("aabaabaab", "xyxyxxyxyx", "abcabcab", "mississippi", "aaaa"):
+        every = set()
+        for p in range(1, len(text)):
+            for a in range(len(text)):
+                b = a + p
+                while b < len(text) and text[b] == text[b - p]:
+                    b += 1
+                if b - a >= 2 * p and (a == 0 or text[a - 1] != text[a + p - 1]):
+                    every.add((a, b, p))
+        least = {(a, b): min(p for x, y, p in every if (x, y) == (a, b)) for a, b, _ in every}
+        assert sorted(_repeats(text)) == sorted((a, b, p) for (a, b), p in least.items())
+
+
 def test_guessed_span_is_added(spark):
     from riskloom.llm.secrets import find_secrets
 
