@@ -2,7 +2,8 @@
 
 Method (iterative proportional fitting): documents are counted into cells of (source, language,
 topic), a few rows pre-aggregated before the shuffle. The cells' token weights are raked to the
-target share of each source, each language and each topic in turn until all marginals fit. A
+target share of each source, each language and each topic in turn until all marginals fit, or no sweep brings them nearer (the targets contradict
+each other where cells are missing: the error left on each axis is logged as a warning). A
 document's probability is its cell's weight times the token budget, over the cell's tokens, at most
 1; what that cap takes away goes to the other cells. A document is sampled when a hash of its id is
 below its probability, so the choice is the same at every run and on every executor.
@@ -18,10 +19,14 @@ documents with one id are sampled or left together; an empty table gives no rows
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.workspace import written
 
+logger = logging.getLogger(__name__)
+
 AXES = ("source", "lang", "topic")
 WORD = "[^\\x20\\x09-\\x0D]+"
 PARTS = 1 << 53
@@ -60,30 +65,35 @@ def target_shares(cells: DataFrame, axis: str, temper: float, given: DataFrame |
     return raw.select(axis, (F.col("raw") / F.lit(raw.agg(F.sum("raw")).first()[0] or 1.0)).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 30, tolerance: float = 1e-6) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-6, progress: float = 1e-3) -> DataFrame:
     """``cells`` with ``weight``: shares of tokens whose marginals are the targets.
 
-    Each sweep rakes every axis and is written, which cuts the lineage; it ends when the largest
-    relative error of a marginal, seen before its raking, is within ``tolerance``.
+    Each sweep rakes every axis and is written, which cuts the lineage; sweeps end when the largest
+    relative error of a marginal, seen before its raking, is within ``tolerance``, or when it hasn't
+    fallen by ``progress`` of itself for three sweeps. Targets that contradict each other end so: the
+    axis raked last fits, and the error left on each axis is logged as a warning.
     """
     spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     cells = cells.withColumn("weight", F.col("tokens") / F.lit(total))
-    for _ in range(sweeps):
-        error = F.lit(0.0)
+    least, idle = float("inf"), 0
+    while True:
         for axis, target in targets.items():
             sums = cells.groupBy(axis).agg(F.sum("weight").alias("sum")).filter("sum > 0")
             factors = sums.join(target, axis).select(axis, (F.col("target") / F.col("sum")).alias("factor"))
             cells = cells.join(factors, axis, "left").withColumn("factor", F.coalesce("factor", F.lit(1.0)))
-            error = F.greatest(error, F.abs(F.col("factor") - 1))
-            cells = cells.withColumns({"weight": F.col("weight") * F.col("factor"), "error": error}).drop("factor")
-            error = F.col("error")
+            error = F.abs(F.col("factor") - 1)
+            cells = cells.withColumns({"weight": F.col("weight") * F.col("factor"), f"error_{axis}": error}).drop("factor")
         cells = written(spark, cells, "raked-cells")
-        worst = cells.agg(F.max("error")).first()[0]
-        cells = cells.drop("error")
-        if worst is None or worst <= tolerance:
-            break
-    return cells
+        errors = cells.agg(*[F.max(f"error_{a}").alias(a) for a in targets]).first().asDict()
+        cells = cells.drop(*[f"error_{a}" for a in targets])
+        worst = max((e for e in errors.values() if e is not None), default=0.0)
+        if worst <= tolerance:
+            return cells
+        least, idle = (worst, 0) if worst < least * (1 - progress) else (least, idle + 1)
+        if idle == 3:
+            logger.warning("targets don't fit together; relative error left before the last sweep: %s", errors)
+            return cells
 
 
 def probabilities(cells: DataFrame, keep: float) -> DataFrame:

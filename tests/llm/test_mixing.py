@@ -59,3 +59,14 @@ def test_no_python(spark):
     for plan in (mixed_sample, line_dedup):
         text = plan(tables.frame(spark, tables.rows(1)))._jdf.queryExecution().executedPlan().toString()
         assert not any(x in text for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_contradicting_targets_are_told(spark, caplog):
+    """Sources of one language each: two thirds of all tokens must be x, the language's target is less."""
+    from riskloom.llm.mixing import calibrated
+
+    rows = [(i, "w " * 10, "y" if i % 3 == 2 else "x", f"s{i % 3}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with caplog.at_level("WARNING", "riskloom.llm.mixing"):
+        calibrated(docs)
+    assert "source" in caplog.text and "lang" in caplog.text
