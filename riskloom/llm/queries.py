@@ -93,6 +93,13 @@ def op5_mixing(spark, sf_dir):
     return mixed_sample(table(spark, sf_dir, "documents"))
 
 
+@query("op13_prefix_trie", sql.PREFIX_TRIE)
+def op13_prefix_trie(spark, sf_dir):
+    from riskloom.llm.prefix_trie import conversation_trie
+
+    return conversation_trie(table(spark, sf_dir, "conversations")).drop("key")
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -153,3 +153,53 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
   NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND boilerplate_words <= 0.8 * n_words AS kept
 FROM counts
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a string's UTF-8 bytes, bit by bit."""
+    step = "lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT"
+    return f"""xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(strlen({text})), lambda i: {byte})),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})))"""
+
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    length(coalesce(text, '')) AS chars, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+n AS (SELECT conv_id, k, chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i FROM t),
+c AS (
+  SELECT conv_id, {_crc32("conv_id::VARCHAR")} % 6 AS h, conv_id - conv_id % 100 AS base FROM (SELECT DISTINCT conv_id FROM t)
+),
+used AS (
+  SELECT c.conv_id, h, base, count(n.i) AS used FROM c LEFT JOIN n ON n.conv_id = base AND n.i <= h GROUP BY ALL
+),
+r AS (
+  SELECT used.conv_id, n.i AS pos, k, chars FROM used JOIN n ON n.conv_id = base AND n.i <= used
+  UNION ALL
+  SELECT conv_id, n.i - h + used, k, chars FROM used JOIN n USING (conv_id) WHERE n.i > h
+),
+p AS (
+  SELECT conv_id, pos AS depth, string_agg(k, '') OVER w AS way, chars, pos = max(pos) OVER (PARTITION BY conv_id) AS last
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+  UNION ALL
+  SELECT conv_id, 0, '', 0, conv_id NOT IN (SELECT conv_id FROM r) FROM c
+),
+m AS (
+  SELECT depth, way, count(*) AS n_convs, min(conv_id) AS conv_id, max(chars) AS chars,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ids
+  FROM p GROUP BY ALL
+),
+kids AS (SELECT depth - 1 AS depth, left(way, 32 * (depth - 1)) AS way, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN kids USING (depth, way)),
+sums AS (
+  SELECT p.depth, p.way, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * f.chars) AS saved_tokens
+  FROM f JOIN p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY ALL
+)
+SELECT f.conv_id, f.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves::BIGINT AS n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, sha256(f.ids) AS ends_sha256
+FROM f JOIN sums USING (depth, way) LEFT JOIN m up ON up.depth = f.depth - 1 AND up.way = left(f.way, 32 * up.depth)
+"""
