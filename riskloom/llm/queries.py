@@ -93,6 +93,20 @@ def op5_mixing(spark, sf_dir):
     return mixed_sample(table(spark, sf_dir, "documents"))
 
 
+@query("op11_near_vectors", sql.NEAR_VECTORS)
+def op11_near_vectors(spark, sf_dir):
+    from riskloom.llm.vector_graphs import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_spelling_variants", sql.SPELLING)
+def op12_spelling_variants(spark, sf_dir):
+    from riskloom.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query("op13_prefix_trie", sql.PREFIX_TRIE)
 def op13_prefix_trie(spark, sf_dir):
     from riskloom.llm.prefix_trie import conversation_trie

@@ -203,3 +203,55 @@ SELECT f.conv_id, f.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_co
   saved_tokens::BIGINT AS saved_tokens, sha256(f.ids) AS ends_sha256
 FROM f JOIN sums USING (depth, way) LEFT JOIN m up ON up.depth = f.depth - 1 AND up.way = left(f.way, 32 * up.depth)
 """
+
+SPELLING = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, run, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h, n FROM (
+    SELECT doc_id, run, count(*) AS n FROM (
+      SELECT doc_id, unnest(regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents
+    ) WHERE length(run) >= 7 GROUP BY ALL
+  )
+),
+v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM r
+  ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+less AS (
+  SELECT word, i, left(word, i::INT - 1) || substr(word, i::INT + 1) AS cut FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)
+),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT word, cut FROM less WHERE cut IN (SELECT word FROM v)
+  UNION SELECT cut, word FROM less WHERE cut IN (SELECT word FROM v)
+),
+best AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS form_n, arg_min(b, (-n, b)) AS form FROM near JOIN v ON v.word = b GROUP BY a
+),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form END AS form,
+    CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n
+  FROM v LEFT JOIN best USING (word)
+),
+ways(word, goal, on_to) AS (
+  SELECT word, word, form FROM f UNION ALL SELECT ways.word, f.word, f.form FROM ways JOIN f ON f.word = on_to
+)
+SELECT f.word, f.form, goal AS root, n, n_near, form_n FROM f JOIN ways ON ways.word = f.word AND on_to IS NULL
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+u AS (
+  SELECT vec_id, label, v, list_inner_product(v, v) AS s FROM e
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.v, b.v) / sqrt(a.s * b.s) >= 0.93
+),
+reach(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT a, y FROM reach JOIN links ON b = x),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT a AS vec_id, coalesce(any_value(n), 0) AS n_links, min(b) AS component_id, a = min(b) AS kept
+FROM reach LEFT JOIN n ON x = a GROUP BY a
+"""

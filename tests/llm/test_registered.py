@@ -12,7 +12,7 @@ def test_query(key, spark, sf_dir, duck):
 
 
 def test_names():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in QUERIES if k.startswith(f"op{n}_")]) == 1
     assert "pipeline" in QUERIES and set(ORACLES) <= set(QUERIES)
 
