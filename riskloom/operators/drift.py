@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.quantiles import column_stats, exact_quantiles
@@ -124,10 +125,11 @@ def fine_counts(
     counted = keyed.groupBy(*by, "_k", "_value", "_c", "_number", "_text").agg(F.count("*").alias("n"))
     return counted.select(
         *by,
-        F.element_at(F.array(*[F.lit(n) for n in [WHOLE, *segments]]), F.col("_k") + 2).alias("segment_column"),
+        # never NULL: a join on them adds no filter below the counts, and their shuffle is used again
+        F.coalesce(F.element_at(F.array(*[F.lit(n) for n in [WHOLE, *segments]]), F.col("_k") + 2), F.lit(WHOLE)).alias("segment_column"),
         F.coalesce("_value", F.lit(WHOLE)).alias("segment_value"),
-        F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_c") + 1).alias("column"),
-        F.coalesce(F.col("_number").cast("string"), F.col("_text")).alias("bin"),
+        F.coalesce(F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_c") + 1), F.lit("")).alias("column"),
+        F.coalesce(F.col("_number").cast("string"), F.col("_text"), F.lit(NULL_BIN)).alias("bin"),
         "n",
     )
 
@@ -157,41 +159,35 @@ def drift_from_counts(baseline: DataFrame, live: DataFrame, by: list[str] = ())
     """All three metrics per (by..., segment, column) from two ``bin_counts`` frames.
 
     ``by`` names group columns only the live side has. Bins missing on one side count as zero.
-    Each side is read once: both are laid together and shuffled once by (segment, column). The
-    baseline's bins aren't copied into every window; their sum at the floor share is a constant
-    of the (segment, column), and a live bin adds how it differs from that.
+    The baseline's bins aren't copied into every window; their sum at the floor share is a constant
+    of the (segment, column), and a live bin adds how it differs from that. Live bins meet those of the
+    baseline by (segment, column, bin), and all sums combine before they are shuffled, so neither the
+    windows nor the values of one column come together in a task.
     """
     shared = ["segment_column", "segment_value", "column"]
-    kinds = dict(live.dtypes)
-    ours = baseline.select(*[F.lit(None).cast(kinds[c]).alias(c) for c in by], *shared, "bin", "n", F.lit(True).alias("_base"))
-    rows = ours.unionByName(live.select(*by, *shared, "bin", "n", F.lit(False).alias("_base")))
-    base_n = F.when(F.col("_base"), F.col("n"))
-    whole, cell = Window.partitionBy(*shared), Window.partitionBy(*shared, "bin")
-    group = Window.partitionBy(*by, *shared, "_base")
-    rows = rows.select(
-        *by, *shared, "_base", "n",
-        F.sum(base_n).over(whole).alias("_q"),
-        F.sum(base_n).over(cell).alias("_qn"),
-        F.sum("n").over(group).alias("_p"),
-    )
 
     def share(n: str, total: str) -> Column:
         ratio = F.try_divide(F.col(n).cast("double"), F.col(total).cast("double"))
         return F.greatest(F.lit(SHARE_FLOOR), F.coalesce(ratio, F.lit(0.0)))
 
-    shares = rows.select(*by, *shared, "_base", "_qn", share("n", "_p").alias("p"), share("_qn", "_q").alias("q"))
-    absent, present = _terms(F.lit(SHARE_FLOOR), F.col("q")), _terms(F.col("p"), F.col("q"))
-    known = F.col("_qn").isNotNull()
-    added = {
-        m: F.when(F.col("_base"), absent[m]).otherwise(present[m] - F.when(known, absent[m]).otherwise(0.0)) for m in METRICS
-    }
-    cells = shares.select(*by, *shared, "_base", *[c.alias(m) for m, c in added.items()])
-    constants = [F.coalesce(F.sum(F.when(F.col("_base"), F.col(m))).over(whole), F.lit(0.0)).alias(f"_{m}") for m in METRICS]
-    return (
-        cells.select("*", *constants)
-        .filter(~F.col("_base"))
-        .groupBy(*by, *shared)
-        .agg(*[F.round(F.max(f"_{m}") + F.sum(m), 6).alias(m) for m in METRICS])
+    def with_total(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+        renamed = {k: f"_{k}" for k in keys}
+        total = counts.groupBy(*keys).agg(F.sum("n").alias(name)).withColumnsRenamed(renamed)
+        # a window or a segment may be NULL
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()])
+        return counts.join(total, same).select(*counts.columns, name)
+
+    cells = baseline.groupBy(*shared, "bin").agg(F.sum("n").alias("n"))
+    base = with_total(cells, shared, "_total").select(*shared, "bin", share("n", "_total").alias("_q"))
+    absent = _terms(F.lit(SHARE_FLOOR), F.col("_q"))
+    constants = base.groupBy(*shared).agg(*[F.sum(c).alias(f"_{m}") for m, c in absent.items()])
+    ours = with_total(live, [*by, *shared], "_whole").select(*by, *shared, "bin", share("n", "_whole").alias("_p"))
+    met = ours.join(base, [*shared, "bin"], "left")
+    present = _terms(F.col("_p"), F.coalesce("_q", F.lit(SHARE_FLOOR)))
+    more = {m: c - F.when(F.col("_q").isNotNull(), absent[m]).otherwise(0.0) for m, c in present.items()}
+    sums = met.groupBy(*by, *shared).agg(*[F.sum(c).alias(m) for m, c in more.items()])
+    return sums.join(constants, shared, "left").select(
+        *by, *shared, *[F.round(F.coalesce(F.col(f"_{m}"), F.lit(0.0)) + F.col(m), 6).alias(m) for m in METRICS]
     )
 
 

@@ -10,6 +10,8 @@ from riskloom.operators import metrics as M
 from riskloom.plans.registry import query
 from riskloom.plans.sql import D, SLICES_CTE, over_p, over_pr
 from riskloom.sources import fixtures as X
+from riskloom.sources.layout import TimeLayout
+from riskloom.workspace import fresh_path
 
 PROBABILITIES = {name: f"p_{name.lower()}" for name in RISK_LABELS}
 CUT_DATES = ["1995-06-01", "1996-07-01", "1998-01-01", "2002-01-01"]
@@ -34,22 +36,38 @@ def _spine(spark, sf_dir):
     )
 
 
-@query(
-    "as_of_join",
-    over_p(
-        """SELECT s.patient_id, s.cut_ts, n.encounter_id, n.ts AS feature_ts, CAST(n.age AS DOUBLE) AS age, n.risk_level
-           FROM spine s ASOF LEFT JOIN newest n ON s.patient_id = n.patient_id AND s.cut_ts >= n.ts""",
-        _NEWEST,
-        _SPINE,
-    ),
+_AS_OF = over_p(
+    """SELECT s.patient_id, s.cut_ts, n.encounter_id, n.ts AS feature_ts, CAST(n.age AS DOUBLE) AS age, n.risk_level
+       FROM spine s ASOF LEFT JOIN newest n ON s.patient_id = n.patient_id AND s.cut_ts >= n.ts""",
+    _NEWEST,
+    _SPINE,
 )
-def as_of_join(spark, sf_dir):
-    features = X.patients(spark, sf_dir).select(
+
+
+def _as_of_features(spark, sf_dir):
+    return X.patients(spark, sf_dir).select(
         "patient_id", "ts", F.col("ts").alias("feature_ts"), "encounter_id", F.col("age").cast("double").alias("age"), "risk_level"
     )
+
+
+@query("as_of_bucketed", _AS_OF)
+def as_of_bucketed(spark, sf_dir):
+    """The as-of join over a view that is stored in buckets of (key, slice of time), in two appends."""
+    features, even = _as_of_features(spark, sf_dir), F.crc32(F.col("encounter_id").cast("binary")) % 2 == 0
+    layout = TimeLayout(
+        spark, fresh_path(spark, "layout"), "encounters", ["patient_id"], "ts", ["encounter_id", "feature_ts", "age", "risk_level"],
+        ["encounter_id"], seconds=365 * 86400, buckets=8,
+    )
+    layout.append(features.filter(even))
+    layout.append(features.filter(~even))
+    return layout.retrieve(_spine(spark, sf_dir), "cut_ts")
+
+
+@query("as_of_join", _AS_OF)
+def as_of_join(spark, sf_dir):
     return J.as_of_join(
         _spine(spark, sf_dir),
-        features,
+        _as_of_features(spark, sf_dir),
         ["patient_id"],
         "cut_ts",
         "ts",

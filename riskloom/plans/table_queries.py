@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.constants import ENCOUNTER_SCHEMA
-from riskloom.functions.expressions import version_stamp
+from riskloom.functions.expressions import hash_bucket, version_stamp
 from riskloom.functions.payload import json_extract
 from riskloom.operators.scoring import flatten_log
 from riskloom.operators.features import feature_frame
@@ -250,15 +250,28 @@ def feature_catalog(spark, sf_dir):
     )
 
 
-@query(
-    "online_latest_per_key",
-    over_p(
-        f"""SELECT {ENCOUNTERS}, shock_index, pulse_pressure, bmi_category, vital_signs_severity FROM (
-              SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY ts DESC, encounter_id DESC) AS rn FROM f)
-            WHERE rn = 1""",
-        F_CTE,
-    ),
+_ONLINE = over_p(
+    f"""SELECT {ENCOUNTERS}, shock_index, pulse_pressure, bmi_category, vital_signs_severity FROM (
+          SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY ts DESC, encounter_id DESC) AS rn FROM f)
+        WHERE rn = 1""",
+    F_CTE,
 )
+
+
+@query("online_maintained", _ONLINE)
+def online_maintained(spark, sf_dir):
+    """Current rows from a table that takes in batches, late rows and a repeated batch among them."""
+    store, features = _store(spark), feature_frame(X.patients(spark, sf_dir))
+    part = hash_bucket(["encounter_id"], 3)
+    store.create_view("encounter_features", features.filter(part == 0), "patient", tie_break=["encounter_id"])
+    store.maintain_online("encounter_features")
+    table = store.online_table("encounter_features")
+    for step in (0, 1, 1):
+        table.merge(features.filter(part == step + 1), "batches", step)
+    return store.online_features("encounter_features")
+
+
+@query("online_latest_per_key", _ONLINE)
 def online_latest_per_key(spark, sf_dir):
     store = _store(spark)
     store.create_view(
@@ -270,17 +283,34 @@ def online_latest_per_key(spark, sf_dir):
 _SPLIT = "CAST('0x' || substr(md5(encounter_id), 1, 8) AS BIGINT) % 10"
 
 
-@query(
-    "generate_dataset",
-    over_p(
-        f"""SELECT s.patient_id, s.ts, v.encounter_id, v.shock_index, v.bmi_category,
-              v.vital_signs_severity, v.risk_level
-            FROM (SELECT patient_id, ts FROM p WHERE {_SPLIT} < 8) s
-            JOIN (SELECT *, row_number() OVER (PARTITION BY patient_id, ts ORDER BY encounter_id DESC) AS rn FROM f) v
-            ON s.patient_id = v.patient_id AND s.ts = v.ts AND v.rn = 1""",
-        F_CTE,
-    ),
+_DATASET = over_p(
+    f"""SELECT s.patient_id, s.ts, v.encounter_id, v.shock_index, v.bmi_category,
+          v.vital_signs_severity, v.risk_level
+        FROM (SELECT patient_id, ts FROM p WHERE {_SPLIT} < 8) s
+        JOIN (SELECT *, row_number() OVER (PARTITION BY patient_id, ts ORDER BY encounter_id DESC) AS rn FROM f) v
+        ON s.patient_id = v.patient_id AND s.ts = v.ts AND v.rn = 1""",
+    F_CTE,
 )
+
+
+@query("extend_dataset", _DATASET)
+def extend_dataset(spark, sf_dir):
+    """A dataset in three versions, each of which computes the spine rows since the one before."""
+    store, raw = _store(spark), X.patients(spark, sf_dir)
+    featured = feature_frame(raw).select(
+        "patient_id", "ts", "encounter_id", "shock_index", "bmi_category", "vital_signs_severity", "risk_level"
+    )
+    store.create_view("encounter_features", featured, "patient", tie_break=["encounter_id"])
+    layout = store.layout("encounter_features", seconds=180 * 86400, buckets=8)
+    train, _ = hash_split(raw, ["encounter_id"])
+    spine = train.select("patient_id", "ts")
+    for year in ("1994", "1996", "2100"):
+        arrived = spine.filter(F.col("ts") < F.lit(f"{year}-01-01").cast("timestamp_ntz"))
+        grown = store.extend_dataset(arrived, {"": layout}, "ts", "training", f"v_{year}")
+    return grown
+
+
+@query("generate_dataset", _DATASET)
 def generate_dataset(spark, sf_dir):
     store, raw = _store(spark), X.patients(spark, sf_dir)
     featured = feature_frame(raw).select(

@@ -6,12 +6,16 @@ counts as present when its success marker is there, so a broken write is not pic
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import FeatureView, retrieve_features
 from riskloom.operators.selection import latest_per_key
-from riskloom.sources.paths import child_names, exists
+from riskloom.sources.buckets import BucketTable
+from riskloom.sources.layout import TimeLayout
+from riskloom.sources.paths import child_names, create_text, exists, read_text
 from riskloom.workspace import small_frame
 
 
@@ -36,7 +40,14 @@ def read_dataset_version(spark: SparkSession, root: str, name: str, version: str
         if not versions:
             raise LookupError(f"dataset {name!r} has no complete version")
         version = versions[-1]
-    return spark.read.parquet(_folder(root, name, version))
+    parts = [*_grown_from(spark, root, name, version).get("parts", []), version]
+    return spark.read.parquet(*[_folder(root, name, v) for v in parts])
+
+
+def _grown_from(spark: SparkSession, root: str, name: str, version: str) -> dict:
+    """Of a version that adds to others: their names, and the newest spine time in it."""
+    path = f"{_folder(root, name, version)}/_grown_from"
+    return json.loads(read_text(spark, path)) if exists(spark, path) else {}
 
 
 _FIRST = "batch_id=-1"  # what create_view wrote; refreshes add batch_id=0, 1, ...
@@ -137,6 +148,9 @@ class FeatureStore:
 
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(f"{self._current_path(name, version)}/batch_id={batch_id}")
+            table = self.online_table(name, version)
+            if table.manifest() is not None:
+                table.merge(batch.dropna(subset=table.keys), "refresh", batch_id)
 
         writer = arrived.writeStream.foreachBatch(write).option(
             "checkpointLocation", f"{self.root}/_refresh/{name}/{version}"
@@ -153,12 +167,52 @@ class FeatureStore:
         values = [c for c in frame.columns if c not in keys and c != row["ts_column"]]
         return FeatureView(frame, row["ts_column"], values, list(row["tie_break"]), prefix)
 
-    def online_features(self, name: str, version: str = "v1") -> DataFrame:
-        """The current row per entity of a registered view."""
+    def online_table(self, name: str, version: str = "v1") -> BucketTable:
+        """The maintained table of a view's current rows: one of its own for every whole write of the view."""
         row = self.views().filter((F.col("view") == name) & (F.col("version") == version)).head()
-        return latest_per_key(
-            self.read_view(name, version), self.join_keys(row["entity"]), [row["ts_column"], *row["tie_break"]]
-        )
+        if row is None:
+            raise LookupError(f"unknown view {name}/{version}")
+        path = f"{_folder(f'{self.root}/online', name, version)}/write={self._current(name, version)}"
+        return BucketTable(self.spark, path, self.join_keys(row["entity"]), [row["ts_column"], *row["tie_break"]])
+
+    def maintain_online(self, name: str, version: str = "v1") -> None:
+        """Keep the current row per entity from now on: refreshes merge into it what they bring.
+
+        The rows there are by now are merged once. A view without this is read whole by ``online_features``.
+        """
+        table = self.online_table(name, version)
+        if table.manifest() is None:
+            table.merge(self.read_view(name, version).dropna(subset=table.keys))
+
+    def online_features(self, name: str, version: str = "v1") -> DataFrame:
+        """The current row per entity of a registered view, without its history where it is maintained."""
+        table = self.online_table(name, version)
+        if table.manifest() is not None:
+            return table.read()
+        return latest_per_key(self.read_view(name, version), table.keys, table.order)
+
+    def compact_view(self, name: str, version: str = "v1") -> int:
+        """Put the refreshes of a view into one folder; returns how many folders that leaves out.
+
+        The newest batch stays a folder of its own, so that its stream may repeat it. The old folders stay
+        for their readers until ``drop_old_writes``. Not to be run while a batch is being written.
+        """
+        current = self._current(name, version)
+        path = f"{self._view_path(name, version)}/write={current}"
+        batches = sorted(int(n.split("=", 1)[1]) for n in child_names(self.spark, path) if n.startswith("batch_id="))
+        settled, newest = (batches[:-1], batches[-1]) if len(batches) > 1 else (batches, None)
+        if len(settled) < 2:
+            return 0
+        table = self.online_table(name, version)
+        after = f"{self._view_path(name, version)}/write={current + 1}"
+        if newest is not None:
+            self.spark.read.parquet(f"{path}/batch_id={newest}").write.mode("overwrite").parquet(f"{after}/batch_id={newest}")
+        if table.manifest() is not None:
+            later = BucketTable(self.spark, table.path.rsplit("=", 1)[0] + f"={current + 1}", table.keys, table.order)
+            later.merge(table.read(), "refresh", table.manifest()["applied"].get("refresh", -1))
+        old = self.spark.read.parquet(*[f"{path}/batch_id={b}" for b in settled])
+        old.write.mode("overwrite").parquet(f"{after}/{_FIRST}")  # last: its marker makes the new write current
+        return len(settled) - 1
 
     def generate_dataset(
         self, spine: DataFrame, views: list[FeatureView], keys: list[str], spine_ts: str, name: str, version: str
@@ -167,3 +221,42 @@ class FeatureStore:
         joined = retrieve_features(spine, views, keys, spine_ts)
         write_dataset_version(joined, f"{self.root}/datasets", name, version)
         return read_dataset_version(self.spark, f"{self.root}/datasets", name, version)
+
+    # -- layouts: views bucketed for retrieval, datasets that grow
+
+    def layout(self, name: str, version: str = "v1", seconds: int = 30 * 86400, buckets: int = 64) -> TimeLayout:
+        """A registered view bucketed by key and slice of time; laid out on first use."""
+        view = self.feature_view(name, version)
+        row = self.views().filter((F.col("view") == name) & (F.col("version") == version)).head()
+        root = f"{self.root}/layouts/{version}/write={self._current(name, version)}"
+        out = TimeLayout(
+            self.spark, root, name, self.join_keys(row["entity"]), view.ts, view.values, view.tie_break, seconds, buckets
+        )
+        if not exists(self.spark, f"{root}/{name}/newest/_SUCCESS"):
+            out.append(view.frame)
+        return out
+
+    def extend_dataset(
+        self, spine: DataFrame, layouts: dict[str, TimeLayout], spine_ts: str, name: str, version: str
+    ) -> DataFrame:
+        """A new dataset version that computes only the spine rows after the newest version's last one.
+
+        ``layouts`` by the prefix of their values. The version holds its own rows and names the earlier
+        versions it adds to; reading it gives all of them. Spine rows that arrive with a time not above that of the
+        newest version belong to no later one: they need a version from scratch.
+        """
+        root = f"{self.root}/datasets"
+        known = dataset_versions(self.spark, root, name)
+        before = _grown_from(self.spark, root, name, known[-1]) if known else {}
+        if known and not before:
+            raise ValueError(f"{name}/{known[-1]} was not made to be extended")
+        kind = dict(spine.dtypes)[spine_ts]
+        fresh = spine.filter(F.col(spine_ts) > F.lit(before["until"]).cast(kind)) if before else spine
+        joined = fresh
+        for prefix, layout in layouts.items():
+            joined = layout.retrieve(joined, spine_ts, prefix)
+        until = fresh.agg(F.max(spine_ts).cast("string")).first()[0] or before.get("until")
+        grown = {"parts": [*before.get("parts", []), *known[-1:]], "until": until}
+        write_dataset_version(joined, root, name, version)
+        create_text(self.spark, f"{_folder(root, name, version)}/_grown_from", json.dumps(grown))
+        return read_dataset_version(self.spark, root, name, version)
