@@ -242,13 +242,13 @@ def hpo_sample_space(spark, sf_dir):
 
 @query(
     "hpo_search",
-    f"""SELECT 20 AS trials, {len(SEARCH_SPACE)} AS drawn, 50 AS first_rung, 20 AS reached_first, true AS thinned, true AS each_tree_once,
+    f"""SELECT 8 AS trials, {len(SEARCH_SPACE)} AS drawn, 50 AS first_rung, 8 AS reached_first, true AS thinned, true AS each_tree_once,
           true AS scored, true AS best_passed""",
 )
 def hpo_search(spark, sf_dir):
-    """Twenty configurations of all documented ranges, boosted; the better half of each rung goes on."""
+    """Eight configurations of all documented ranges, boosted; the better half of each rung goes on."""
     train, test = _train_test(spark, sf_dir)
-    found = H.run_async_halving(train, test, MODEL_NUMERIC, MODEL_CATEGORICAL, "risk_level", SEARCH_SPACE, num_samples=20)
+    found = H.run_async_halving(train, test, MODEL_NUMERIC, MODEL_CATEGORICAL, "risk_level", SEARCH_SPACE, num_samples=8)
     params = F.from_json("params", "map<string, double>")
     trials = found.groupBy("trial_id").agg(
         F.min(F.size(F.map_keys(params))).alias("drawn"),

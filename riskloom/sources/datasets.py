@@ -251,7 +251,8 @@ class FeatureStore:
         if known and not before:
             raise ValueError(f"{name}/{known[-1]} was not made to be extended")
         kind = dict(spine.dtypes)[spine_ts]
-        fresh = spine.filter(F.col(spine_ts) > F.lit(before["until"]).cast(kind)) if before else spine
+        until = before.get("until")  # None: no version has rows with a time yet
+        fresh = spine if until is None else spine.filter(F.col(spine_ts) > F.lit(until).cast(kind))
         joined = fresh
         for prefix, layout in layouts.items():
             joined = layout.retrieve(joined, spine_ts, prefix)
