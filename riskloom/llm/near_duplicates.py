@@ -15,11 +15,13 @@ entries, since each needs its share of all rows. So each tree holds the document
 shingle, and the lower levels bound whole groups of them by size and counts.
 
 Every pair that the bounds leave is verified, also within a group that is connected already, so the
-links are all links between different sets; components come from them. A pair that shares several
-shingles is taken from one of their trees where that can be told from the least ``HEADS`` shingles of
-each point. Trees of more than ``tile`` documents are dealt to several tasks, pair of parts by pair of
-parts. Documents with equal sets are one point. Pairs are verified in cells (block of one side, block of
-the other), so a point's text goes to a cell once, not once for each of its pairs.
+links are all links between different sets; components come from them. Trees of more than ``tile``
+documents are dealt to several tasks, pair of parts by pair of parts. Documents with equal sets are one
+point. Pairs never become rows: a tree gives one row per group of points that its pairs connect, with a
+compressed grid of bits, and points are verified together with all they may link with. That is a cell:
+one for each such group over all trees, or, of a group above ``BLOCK`` points, each pair of its blocks. A
+point's text thus goes to one cell, or to as many as its group has blocks. A cell takes a pair that several
+trees found once, and gives one row per point: how many links it has, and one point of its component.
 
 Edge cases: a null text, or one without words, has no shingles and is linked with nothing; with fewer
 than five words the whole sequence is one shingle; a null id sorts after every other; repeated rows
@@ -28,6 +30,8 @@ get equal rows; an empty table gives no rows; further columns are left out.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -197,17 +201,45 @@ def _canonical(shingle, heads_a, heads_b):
     return (least == NONE) | (least == shingle)
 
 
-def _forests(chunk: int = 100_000):
-    """Pairs of points that may link."""
+def _labels(n, a, b):
+    """For each of n points the least one that pairs (a, b) connect it with."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[a], label[b])
+        old = label.copy()
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        np.minimum.at(label, old, label)  # also for those that had the same label before
+        label = label[label]
+        if (label == old).all():
+            return label
+
+
+def _forests(chunk: int = 8192):
+    """Groups of points that may link: their numbers, and a grid of bits that says which pairs."""
 
     def solve(rows):
         columns = [np.concatenate(x) for x in zip(*rows)]
         order = np.lexsort((columns[3], columns[1], columns[0]))
         tree, size, side, point, shingle, heads, vectors, parities = (c[order] for c in columns)
+        found = [np.empty((2, 0), dtype=np.int32)]
         for i, j in Forest(tree, size, vectors, parities, side).pairs():
             own = _canonical(shingle[i], heads[i], heads[j])
-            a, b = point[i[own]], point[j[own]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            found.append(np.stack([i[own], j[own]]).astype(np.int32))
+        i, j = np.concatenate(found, axis=1)
+        if not len(i):
+            return
+        group = _labels(len(point), i, j)[i]
+        order = np.argsort(group, kind="stable")
+        i, j, group = i[order], j[order], group[order]
+        edge = np.flatnonzero(np.diff(group, prepend=-1))
+        out = []
+        for low, high in zip(edge, np.append(edge[1:], len(group))):
+            names = np.unique(np.concatenate([point[i[low:high]], point[j[low:high]]]))
+            grid = np.zeros((len(names), len(names)), dtype=bool)
+            grid[np.searchsorted(names, point[i[low:high]]), np.searchsorted(names, point[j[low:high]])] = True
+            out.append((int(names[0]), names.tobytes(), zlib.compress(np.packbits(grid | grid.T).tobytes(), 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["point", "names", "grid"])
 
     def run(batches):
         rows, size = [], 0
@@ -218,20 +250,42 @@ def _forests(chunk: int = 100_000):
             columns.append(np.frombuffer(b"".join(batch.column("heads").to_pylist()), dtype=">i8").astype(np.int64).reshape(-1, HEADS))
             columns += _vectors(batch.column("counts"))
             # a tree is never cut: what is complete is solved, the last tree waits for more
-            edge = int(np.searchsorted(columns[0], columns[0][-1]))
-            if size + edge >= chunk and (edge or columns[0][0] != rows[-1][0][-1]):
-                if edge:
-                    rows.append([c[:edge] for c in columns])
-                yield from solve(rows)
-                rows, size, columns = [], 0, [c[edge:] for c in columns]
-            rows.append(columns)
-            size += len(columns[0])
+            begin = 0
+            while begin < len(columns[0]):
+                rest = columns[0][begin:]
+                edge = int(np.searchsorted(rest, rest[0], side="right"))
+                if size >= chunk and rest[0] != rows[-1][0][-1]:
+                    yield from solve(rows)
+                    rows, size = [], 0
+                rows.append([c[begin : begin + edge] for c in columns])
+                size += edge
+                begin += edge
         if rows:
             yield from solve(rows)
 
     return run
 
 
+def _ways(batches):
+    """One link from the first point of a group to each of the others."""
+    for batch in batches:
+        for names in batch.column("names"):
+            names = np.frombuffer(names.as_py(), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names) - 1, names[0])), pa.array(names[1:])], names=["a", "b"])
+
+
+def _to_cells(batches):
+    """A group's grid for each cell that some of its points are in."""
+    for batch in batches:
+        out = []
+        for root, blocks, names, grid in zip(*(batch.column(c).to_pylist() for c in ("root", "blocks", "names", "grid"))):
+            own = np.unique(np.frombuffer(names, dtype=np.int64) % blocks).tolist()
+            out += [(root, a * blocks + b, blocks, names, grid) for k, a in enumerate(own) for b in own[k:]]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["root", "cell", "blocks", "names", "grid"])
+
+
 def _pack(batches):
     import zstandard
 
@@ -259,42 +313,54 @@ def _overlaps(sets, a, b):
 
 
 def _verify(batches):
-    """Links of each cell; its texts (rows without ``b``) come before its pairs."""
+    """Links of each cell's points; its texts (rows without ``grid``) come before its grids."""
     import zstandard
 
     open_ = zstandard.ZstdDecompressor().decompress
-    cell, names, sets, pairs = None, [], [], []
+    at, names, sets, grids = None, [], [], []
 
     def solve():
-        if not pairs:
+        if not grids:
             return
         order = np.argsort(points := np.array(names, dtype=np.int64))
-        a, b = (order[np.searchsorted(points[order], x)] for x in (np.concatenate(c) for c in zip(*pairs)))
-        by = np.argsort(a, kind="stable")
-        a, b = a[by], b[by]
-        size, both = _overlaps(sets, a, b)
+        points, own = points[order], [sets[k] for k in order]
+        pairs = np.zeros((len(points), len(points)), dtype=bool)
+        for blocks, members, grid in grids:
+            members = np.frombuffer(members, dtype=np.int64)
+            wide = np.unpackbits(np.frombuffer(zlib.decompress(grid), dtype=np.uint8), count=len(members) ** 2).reshape(len(members), -1)
+            block = members % blocks
+            here = np.flatnonzero((block == at[1] // blocks) | (block == at[1] % blocks))
+            wide, block, place = wide[np.ix_(here, here)].astype(bool), block[here], np.searchsorted(points, members[here])
+            if at[1] // blocks != at[1] % blocks:  # pairs within a block have a cell of their own
+                wide &= block[:, None] != block
+            pairs[np.ix_(place, place)] |= wide
+        a, b = np.nonzero(np.triu(pairs, 1))
+        size, both = _overlaps(own, a, b)
         good = 100 * both >= 80 * (size[a] + size[b] - both)
-        yield pa.RecordBatch.from_arrays([pa.array(points[a[good]]), pa.array(points[b[good]])], names=["a", "b"])
+        a, b = a[good], b[good]
+        links = np.bincount(np.concatenate([a, b]), minlength=len(points))
+        linked = np.flatnonzero(links)
+        if len(linked):
+            least = _labels(len(points), a, b)[linked]
+            yield pa.RecordBatch.from_arrays([pa.array(points[linked]), pa.array(links[linked]), pa.array(points[least])], names=["point", "n", "other"])
 
     for batch in batches:
-        cells = batch.column("cell").to_numpy(zero_copy_only=False)
-        edge = np.flatnonzero(np.diff(cells, prepend=cells[:1] - 1)) if len(cells) else []
-        for low, high in zip(edge, np.append(edge[1:], len(cells))):
-            if cells[low] != cell:
+        places = list(zip(batch.column("root").to_pylist(), batch.column("cell").to_pylist()))
+        for k, place in enumerate(places):
+            if place != at:
                 yield from solve()
-                cell, names, sets, pairs = cells[low], [], [], []
-            part = batch.slice(low, high - low)
-            texts = part.column("b").null_count
-            for point, packed in zip(part.column("a").slice(0, texts).to_pylist(), part.column("packed").slice(0, texts)):
-                data = np.frombuffer(open_(packed.as_buffer()), dtype=np.uint8)
-                names.append(point)
+                at, names, sets, grids = place, [], [], []
+            if batch.column("grid")[k].is_valid:
+                grids.append(tuple(batch.column(c)[k].as_py() for c in ("blocks", "names", "grid")))
+            else:
+                data = np.frombuffer(open_(batch.column("packed")[k].as_buffer()), dtype=np.uint8)
+                names.append(batch.column("point")[k].as_py())
                 sets.append(shingles(data, np.array([0, len(data)]))[0])
-            if texts < len(part):
-                pairs.append([part.column(c).slice(texts).to_numpy(zero_copy_only=False) for c in "ab"])
     yield from solve()
 
 
 PAIR = "a long, b long"
+GRIDS = "point long, names binary, grid binary"
 
 
 class _Join:
@@ -314,23 +380,30 @@ class _Join:
         found = counts.filter(F.col("n") > limit).select("shingle").toArrow().column(0)
         return self.spark.sparkContext.broadcast(found.to_numpy().astype(np.int64).view(np.uint64))
 
-    def packed(self, pairs):
-        """Compressed texts of the points in ``pairs``."""
-        wanted = pairs.select(F.col("a").alias("point")).union(pairs.select(F.col("b").alias("point"))).distinct()
+    def packed(self, wanted):
+        """Compressed texts of some points."""
         places = self.points.join(wanted, "point").select("point", "row_key", "text_key")
         texts = self.texts.mapInArrow(_pack, "row_key long, text_key long, packed binary")
-        return self.store(texts.join(places, KEYS).select("point", "packed").dropDuplicates(["point"]), "packed-texts")
-
-    def verified(self, pairs):
-        """The pairs that link."""
-        packed = self.packed(pairs)
-        blocks = F.lit(max(1, -(-packed.count() // BLOCK)))
-        cell = F.pmod(F.xxhash64("a"), blocks) * blocks + F.pmod(F.xxhash64("b"), blocks)
-        placed = pairs.withColumn("cell", cell)
-        ends = placed.select("cell", F.explode(F.array("a", "b")).alias("point")).distinct()
-        texts = ends.join(packed, "point").select("cell", F.col("point").alias("a"), F.lit(None).cast("long").alias("b"), "packed")
-        rows = texts.unionByName(placed.withColumn("packed", F.lit(None).cast("binary")).select("cell", "a", "b", "packed"))
-        return self.store(rows.repartition("cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first()).mapInArrow(_verify, PAIR), "links")
+        return texts.join(places, KEYS).select("point", "packed").dropDuplicates(["point"])
+
+    def verified(self, groups):
+        """``point, n, other``: how many links a point has in a cell, and one point of its component there."""
+        near = self.store(components(groups.mapInArrow(_ways, PAIR)), "candidate-groups")
+        sizes = near.groupBy("root").agg(F.count("*").alias("n"))
+        sizes = self.store(sizes.select("root", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "group-sizes")
+        near = self.store(near.join(sizes, "root").select(F.col("node").alias("point"), "root", "blocks"), "placed")
+        block = F.pmod("point", "blocks")
+        texts = (
+            self.packed(near.select("point"))
+            .join(near, "point")
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .withColumn("cell", F.least(block, "block") * F.col("blocks") + F.greatest(block, "block"))
+        )
+        grids = groups.join(near, "point").select("root", "blocks", "names", "grid")
+        grids = grids.mapInArrow(_to_cells, "root long, cell long, blocks long, names binary, grid binary")
+        rows = texts.select("root", "cell", "point", "packed").unionByName(grids, allowMissingColumns=True)
+        placed = rows.repartition("root", "cell").sortWithinPartitions("root", "cell", F.col("blocks").asc_nulls_first())
+        return self.store(placed.mapInArrow(_verify, "point long, n long, other long"), "links")
 
     def run(self):
         members = self.store(self.texts.mapInArrow(_points, POINTS), "points")
@@ -342,11 +415,12 @@ class _Join:
         trees = self.store(trees.select("shingle"), "trees")
         entries = self.store(entries.join(trees, "shingle").distinct(), "tree-entries")
         hot.unpersist()
-        links = self.verified(self.store(self.tree_pairs(entries), "tree-pairs"))
-        return members, links, self.store(components(links), "components")
+        links = self.verified(self.store(self.tree_groups(entries), "tree-groups"))
+        roots = components(links.select(F.col("point").alias("a"), F.col("other").alias("b")))
+        return members, links, self.store(roots, "components")
 
-    def tree_pairs(self, entries):
-        """All pairs that may link."""
+    def tree_groups(self, entries):
+        """All pairs that may link, as grids of the groups that each tree connects."""
         sizes = entries.groupBy("shingle").agg(F.count("*").alias("size"))
         sizes = self.store(sizes.select("shingle", F.ceil(F.col("size") / self.tile).cast("int").alias("parts")), "tree-sizes")
         least = F.slice(F.sort_array(F.collect_list("shingle")), 1, HEADS)
@@ -364,9 +438,10 @@ class _Join:
             .select("tree", "shingle", "point", "side")
             .join(points, "point")
         )
-        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(), PAIR).distinct()
+        return dealt.repartition("tree").sortWithinPartitions("tree").mapInArrow(_forests(), GRIDS)
+
 
-def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int = 64, tile: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int = 64, tile: int = 2048) -> DataFrame:
     """One row per document: ``n_shingles``, ``component_id`` (the smallest doc_id it is linked with), ``n_links`` and
     ``component`` (one number for each component, also where ids repeat).
 
@@ -378,8 +453,7 @@ def near_duplicates(docs: DataFrame, hot_limit: int = 1 << 19, hot_least: int =
     rooted = members.join(roots.withColumnRenamed("node", "point"), "point", "left").withColumn("root", F.coalesce("root", "point"))
     least = rooted.groupBy("root").agg(F.min("row_key").alias("component_id"))
     least = stored(docs.sparkSession, least, "least-ids")
-    ends = links.select(F.col("a").alias("point")).union(links.select(F.col("b").alias("point")))
-    degrees = stored(docs.sparkSession, ends.groupBy("point").agg(F.count("*").alias("n_links")), "degrees")
+    degrees = stored(docs.sparkSession, links.groupBy("point").agg(F.sum("n").alias("n_links")), "degrees")
     out = rooted.join(least, "root").join(degrees, "point", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("row_key"))
     # sets without shingles share a point but no component
