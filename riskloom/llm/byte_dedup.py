@@ -179,20 +179,24 @@ def settle(parts, row, start, length):
     text = np.frombuffer(b"\xff".join(parts) + b"\xff", dtype=np.uint8)  # 0xff is in no UTF-8 text
     begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     array = suffix_array(text)
-    prefix = common_prefixes(text, array)[array]
-    segment = np.searchsorted(begins, array, side="right") - 1
+    same = common_prefixes(text, array)[array] >= length
+    group = np.cumsum(~same)  # neighbours that share enough are of one group
+    shared = same | np.append(same[1:], False)  # alone in its group a string is the first
+    array, group = array[shared], group[shared]
+    segment = np.repeat(np.arange(len(parts)), sizes + 1)[array]
     offset = array - begins[segment]
     whole = offset + length <= sizes[segment]
-    group = np.cumsum(~(prefix >= length))  # neighbours that share enough are of one group
     segment, offset, group = segment[whole], offset[whole], group[whole]
-    order = np.lexsort((start[segment] + offset, row[segment], group))
-    segment, offset, group = segment[order], offset[order], group[order]
-    fresh = np.ones(len(group), dtype=bool)
-    fresh[1:] = group[1:] != group[:-1]
-    head = np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
-    place = start[segment] + offset
-    later = (row[segment] != row[segment[head]]) | (place != place[head])
-    return segment[later], offset[later]
+    if not len(group):
+        return segment, offset
+    # the first of each group: its least row, and there the least place
+    head = np.flatnonzero(np.diff(group, prepend=-1))
+    size = np.diff(np.append(head, len(group)))
+    whose, place = row[segment], start[segment] + offset
+    first = whose == np.repeat(np.minimum.reduceat(whose, head), size)
+    place_there = np.where(first, place, np.iinfo(np.int64).max)
+    first &= place == np.repeat(np.minimum.reduceat(place_there, head), size)
+    return segment[~first], offset[~first]
 
 
 def _shards(length, chunk_bytes):

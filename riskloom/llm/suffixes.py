@@ -85,12 +85,25 @@ def _induce(text, small, leftmost):
 
 
 def _order_names(names):
-    """Ranks of the suffixes of a string of names."""
-    rank, step = names, 1
-    while len(rank) and rank.max() + 1 < len(rank):
-        ahead = np.zeros(len(rank), dtype=np.int64)
-        ahead[:-step] = rank[step:] + 1
-        _, rank = np.unique(rank * (len(rank) + 1) + ahead, return_inverse=True)
+    """Ranks of the suffixes of a string of names: how many are smaller.
+
+    Only those that others equal so far are sorted again, by what follows them twice as far on.
+    """
+    n, step = len(names), 1
+    rank = np.zeros(n, dtype=np.int64)
+    open_, key, base = np.arange(n), np.asarray(names, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    while len(open_):
+        by = np.argsort(key, kind="stable")
+        open_, key, base = open_[by], key[by], base[by]
+        at, fresh, group = np.arange(len(open_)), np.ones(len(open_), dtype=bool), np.ones(len(open_), dtype=bool)
+        fresh[1:], group[1:] = key[1:] != key[:-1], base[1:] != base[:-1]
+        # a rank and how far behind the first of the same old rank
+        rank[open_] = base + np.maximum.accumulate(np.where(fresh, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        open_ = open_[~(fresh & np.append(fresh[1:], True))]
+        ahead, inside = np.zeros(len(open_), dtype=np.int64), open_ + step < n
+        ahead[inside] = rank[open_[inside] + step] + 1
+        base = rank[open_]
+        key = base * (n + 1) + ahead
         step *= 2
     return rank
 
