@@ -202,22 +202,22 @@ def prediction_drift(spark, sf_dir):
     return found.select("column", "psi")
 
 
-@query(
-    "performance_by_day",
-    over_pr(
-        """SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start,
-             round(any_value(acc), 6) AS accuracy, round(avg(f1), 6) AS f1_macro, CAST(any_value(n) AS BIGINT) AS n
-           FROM rates GROUP BY ts""",
-        """tallies AS (
-             SELECT ts, l, sum(a) AS support, sum(b) AS n_predicted, sum(h) AS hits FROM (
-               SELECT ts, risk_level AS l, 1 AS a, 0 AS b, CASE WHEN risk_level = predicted THEN 1 ELSE 0 END AS h FROM pr
-               UNION ALL SELECT ts, predicted, 0, 1, 0 FROM pr) GROUP BY ALL),
-           rates AS (
-             SELECT ts, 2 * hits / CAST(support + n_predicted AS DOUBLE) AS f1,
-               sum(hits) OVER (PARTITION BY ts) / CAST(sum(support) OVER (PARTITION BY ts) AS DOUBLE) AS acc,
-               sum(support) OVER (PARTITION BY ts) AS n FROM tallies)""",
-    ),
+PERFORMANCE_SQL = over_pr(
+    """SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start,
+         round(any_value(acc), 6) AS accuracy, round(avg(f1), 6) AS f1_macro, CAST(any_value(n) AS BIGINT) AS n
+       FROM rates GROUP BY ts""",
+    """tallies AS (
+         SELECT ts, l, sum(a) AS support, sum(b) AS n_predicted, sum(h) AS hits FROM (
+           SELECT ts, risk_level AS l, 1 AS a, 0 AS b, CASE WHEN risk_level = predicted THEN 1 ELSE 0 END AS h FROM pr
+           UNION ALL SELECT ts, predicted, 0, 1, 0 FROM pr) GROUP BY ALL),
+       rates AS (
+         SELECT ts, 2 * hits / CAST(support + n_predicted AS DOUBLE) AS f1,
+           sum(hits) OVER (PARTITION BY ts) / CAST(sum(support) OVER (PARTITION BY ts) AS DOUBLE) AS acc,
+           sum(support) OVER (PARTITION BY ts) AS n FROM tallies)""",
 )
+
+
+@query("performance_by_day", PERFORMANCE_SQL)
 def performance_by_day(spark, sf_dir):
     scored = X.predictions(spark, sf_dir).withColumn("window_start", R.time_bucket("ts", "day"))
     counts = M.pair_counts(scored, "risk_level", "predicted", by=["window_start"])

@@ -8,13 +8,14 @@ from riskloom.functions.expressions import risk_label, risk_score
 from riskloom.operators import alerts as A
 from riskloom.operators.features import feature_frame
 from riskloom.operators.scoring import RULE_INPUTS, flatten_log, score_or_error, score_rules
-from riskloom.plans.drift_queries import EVENT_DRIFT_SQL
+from riskloom.plans.drift_queries import EVENT_DRIFT_SQL, PERFORMANCE_SQL
 from riskloom.plans.ml_queries import FALLBACK_SQL
 from riskloom.plans.registry import query
 from riskloom.plans.sql import D, ENCOUNTERS, ENGINEERED_SERVE, ENGINEERED_TRAIN, over_p
 from riskloom.sources import fixtures as X
 from riskloom.sources.datasets import FeatureStore
 from riskloom.streaming import live as L
+from riskloom.streaming import performance as P
 
 
 def _stream(spark, sf_dir, name: str):
@@ -101,6 +102,22 @@ def stream_psi_by_day(spark, sf_dir):
     return L.read_windows(spark, f"{path}/report").select("window_start", "column", "psi", "kl", "jsd")
 
 
+@query("stream_performance_by_day", PERFORMANCE_SQL)
+def stream_performance_by_day(spark, sf_dir):
+    """Predictions and their labels, which come two days later, as two streams."""
+    scored = X.predictions_from(_stream(spark, sf_dir, "orders")).select("encounter_id", "ts", "predicted")
+    later = F.timestamp_add("DAY", F.lit(2), F.col("ts")).alias("label_ts")
+    labels = X.predictions_from(_stream(spark, sf_dir, "orders")).select("encounter_id", "risk_level", later)
+    joined = P.labelled(scored, labels, ["encounter_id"], "risk_level")
+    path = L.run_to_path(lambda p: P.performance_sink(joined, p, "risk_level", "predicted"), spark, "performance")
+    return P.live_performance(spark, path).select(
+        "window_start",
+        F.round("accuracy", 6).alias("accuracy"),
+        F.round("f1_macro", 6).alias("f1_macro"),
+        F.col("test_size").alias("n"),
+    )
+
+
 _RULES = [
     ("value_drift", "value", "psi", 0.015),
     ("event_type_drift", "event_type", "psi", 0.02),

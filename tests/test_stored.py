@@ -186,3 +186,39 @@ def test_dataset_grows(spark):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     own = spark.read.parquet(f"{store.root}/datasets/d/version=v2").count()
     assert 0 < own < got.count() == spine.count()
+
+
+def test_performance_with_late_labels(spark):
+    """Labels before, with and long after their predictions; some never; a restart in between."""
+    from riskloom.streaming import performance as P
+    from riskloom.streaming.live import drain, start
+
+    folder = fresh_path(spark, "late")
+    scored_schema, label_schema = "id int, ts timestamp_ntz, predicted string", "id int, y string, label_ts timestamp_ntz"
+
+    def day(d):
+        return f"2024-01-{d:02d} 12:00:00"
+
+    def arrive(name, rows, schema):
+        cast = [F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", ")]
+        spark.createDataFrame(rows, ", ".join(f"{c.split()[0]} string" for c in schema.split(", "))).select(*cast).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+    def run():
+        scored = spark.readStream.schema(scored_schema).parquet(f"{folder}/scored")
+        labels = spark.readStream.schema(label_schema).parquet(f"{folder}/labels")
+        joined = P.labelled(scored, labels, ["id"], "y", wait="3 days")
+        drain(start(P.performance_sink(joined, f"{folder}/out", "y", "predicted"), f"{folder}/checkpoint", None))
+
+    arrive("scored", [("1", day(1), "a"), ("2", day(1), "b"), ("3", day(1), "a"), ("4", day(2), "a"), (None, day(2), "a")], scored_schema)
+    arrive("labels", [("1", "a", day(1)), ("9", "b", day(1)), ("4", None, day(2))], label_schema)
+    run()
+    arrive("labels", [("2", "a", day(3)), ("3", "a", day(9))], label_schema)  # the second one comes too late
+    arrive("scored", [("5", day(3), "b")], scored_schema)
+    run()
+    for d in (20, 25):  # both watermarks go on
+        arrive("scored", [(f"{d}", day(d), "a")], scored_schema)
+        arrive("labels", [(f"{d}", "a", day(d))], label_schema)
+        run()
+    run()
+    got = {str(r.window_start)[8:10]: (r.accuracy, r.test_size, r.n_unlabelled) for r in P.live_performance(spark, f"{folder}/out").collect()}
+    assert got == {"01": (0.5, 2, 1), "02": (None, None, 2), "03": (None, None, 1), "20": (1.0, 1, 0), "25": (1.0, 1, 0)}
