@@ -18,10 +18,11 @@ Every pair that the bounds leave is verified, also within a group that is connec
 links are all links between different sets; components come from them. Trees of more than ``tile``
 documents are dealt to several tasks, pair of parts by pair of parts. Documents with equal sets are one
 point. Pairs never become rows: a tree gives one row per group of points that its pairs connect, with a
-compressed grid of bits, and points are verified together with all they may link with. That is a cell:
-one for each such group over all trees, or, of a group above ``BLOCK`` points, each pair of its blocks. A
-point's text thus goes to one cell, or to as many as its group has blocks. A cell takes a pair that several
-trees found once, and gives one row per point: how many links it has, and one point of its component.
+compressed grid of bits. What all trees connect is verified together in one cell, to which each text goes
+once; a cell takes a pair that several trees found once. Where that would be over ``BLOCK`` points or
+``VOLUME`` shingles, each tree's group is a cell of its own (or, above the same limits, each pair of its
+blocks), and a pair counts in the tree of the least shingle of both only. A cell gives one row per point: how
+many links it has, and one point of its component.
 
 Edge cases: a null text, or one without words, has no shingles and is linked with nothing; with fewer
 than five words the whole sequence is one shingle; a null id sorts after every other; repeated rows
@@ -43,7 +44,9 @@ from riskloom.llm.graph import components
 from riskloom.llm.repeats import KEYS
 
 SHINGLE, GROUPS, FINE, FULL, FAN = 5, 64, 512, 255, 8
-HEADS, BLOCK, NONE = 8, 1024, (1 << 63) - 1
+HEADS, NONE = 8, (1 << 63) - 1
+#: Points and shingles of a cell, or of each of the two blocks that a cell compares.
+BLOCK, VOLUME = 1024, 1 << 19
 POINTS = "row_key long, text_key long, n long, point long, counts binary"
 ENTRIES = "shingle long, point long"
 
@@ -235,11 +238,14 @@ def _forests(chunk: int = 8192):
         edge = np.flatnonzero(np.diff(group, prepend=-1))
         out = []
         for low, high in zip(edge, np.append(edge[1:], len(group))):
-            names = np.unique(np.concatenate([point[i[low:high]], point[j[low:high]]]))
+            names, at = np.unique(point[np.concatenate([i[low:high], j[low:high]])], return_index=True)
+            volume = size[np.concatenate([i[low:high], j[low:high]])[at]].sum()
             grid = np.zeros((len(names), len(names)), dtype=bool)
             grid[np.searchsorted(names, point[i[low:high]]), np.searchsorted(names, point[j[low:high]])] = True
-            out.append((int(names[0]), names.tobytes(), zlib.compress(np.packbits(grid | grid.T).tobytes(), 1)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary()))], names=["point", "names", "grid"])
+            packed = zlib.compress(np.packbits(grid | grid.T).tobytes(), 1)
+            out.append((int(names[0]), int(shingle[i[low]]), int(volume), names.tobytes(), packed))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["point", "shingle", "volume", "names", "grid"])
 
     def run(batches):
         rows, size = [], 0
@@ -278,12 +284,29 @@ def _to_cells(batches):
     """A group's grid for each cell that some of its points are in."""
     for batch in batches:
         out = []
-        for root, blocks, names, grid in zip(*(batch.column(c).to_pylist() for c in ("root", "blocks", "names", "grid"))):
+        for root, tile, blocks, shingle, names, grid in zip(*(batch.column(c).to_pylist() for c in ("root", "tile", "blocks", "shingle", "names", "grid"))):
             own = np.unique(np.frombuffer(names, dtype=np.int64) % blocks).tolist()
-            out += [(root, a * blocks + b, blocks, names, grid) for k, a in enumerate(own) for b in own[k:]]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            out += [(root, tile, a * blocks + b, blocks, shingle, names, grid) for k, a in enumerate(own) for b in own[k:]]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["root", "cell", "blocks", "names", "grid"])
+            kinds = (*[pa.int64()] * 5, pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[x.split()[0] for x in CELLS.split(", ")])
+
+
+def _members(batches):
+    """The points of each group."""
+    for batch in batches:
+        for root, tile, blocks, names in zip(*(batch.column(c).to_pylist() for c in ("root", "tile", "blocks", "names"))):
+            names = np.frombuffer(names, dtype=np.int64)
+            fixed = [pa.array(np.full(len(names), v)) for v in (root, tile, blocks)]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(names)], names=["root", "tile", "blocks", "point"])
+
+
+def _heads(hashes, hot):
+    """The entries of one set, as :func:`_entries` takes them, in ascending order."""
+    frequent = np.zeros(len(hashes), dtype=bool)
+    frequent[hot.find(hashes)] = True
+    taken = np.concatenate([hashes[~frequent], hashes[frequent]])[: len(hashes) - (4 * len(hashes) + 4) // 5 + 1]
+    return np.sort(taken.view(np.int64))
 
 
 def _pack(batches):
@@ -312,55 +335,62 @@ def _overlaps(sets, a, b):
     return size, both
 
 
-def _verify(batches):
+def _verify(shared):
     """Links of each cell's points; its texts (rows without ``grid``) come before its grids."""
     import zstandard
 
-    open_ = zstandard.ZstdDecompressor().decompress
-    at, names, sets, grids = None, [], [], []
+    def run(batches):
+        open_, hot = zstandard.ZstdDecompressor().decompress, Members(shared.value)
+        at, names, sets, grids = None, [], [], []
+
+        def solve():
+            if not grids:
+                return
+            order = np.argsort(points := np.array(names, dtype=np.int64))
+            points, own, tile = points[order], [sets[k] for k in order], at[1]
+            pairs = np.zeros((len(points), len(points)), dtype=bool)
+            for blocks, _, members, grid in grids:
+                members = np.frombuffer(members, dtype=np.int64)
+                wide = np.unpackbits(np.frombuffer(zlib.decompress(grid), dtype=np.uint8), count=len(members) ** 2).reshape(len(members), -1)
+                block = members % blocks
+                here = np.flatnonzero((block == at[2] // blocks) | (block == at[2] % blocks))
+                wide, block, place = wide[np.ix_(here, here)].astype(bool), block[here], np.searchsorted(points, members[here])
+                if at[2] // blocks != at[2] % blocks:  # pairs within a block have a cell of their own
+                    wide &= block[:, None] != block
+                pairs[np.ix_(place, place)] |= wide
+            a, b = np.nonzero(np.triu(pairs, 1))
+            size, both = _overlaps(own, a, b)
+            good = np.flatnonzero(100 * both >= 80 * (size[a] + size[b] - both))
+            if tile:  # other trees may hold the pair too: it belongs to that of the least shingle of both
+                shingle, heads = grids[0][1], {int(k): _heads(own[k], hot) for k in np.unique(np.concatenate([a[good], b[good]]))}
+                good = np.array([k for k in good.tolist() if np.intersect1d(heads[int(a[k])], heads[int(b[k])], True)[0] == shingle], dtype=np.int64)
+            a, b = a[good], b[good]
+            links = np.bincount(np.concatenate([a, b]), minlength=len(points))
+            linked = np.flatnonzero(links)
+            if len(linked):
+                least = _labels(len(points), a, b)[linked]
+                yield pa.RecordBatch.from_arrays([pa.array(points[linked]), pa.array(links[linked]), pa.array(points[least])], names=["point", "n", "other"])
 
-    def solve():
-        if not grids:
-            return
-        order = np.argsort(points := np.array(names, dtype=np.int64))
-        points, own = points[order], [sets[k] for k in order]
-        pairs = np.zeros((len(points), len(points)), dtype=bool)
-        for blocks, members, grid in grids:
-            members = np.frombuffer(members, dtype=np.int64)
-            wide = np.unpackbits(np.frombuffer(zlib.decompress(grid), dtype=np.uint8), count=len(members) ** 2).reshape(len(members), -1)
-            block = members % blocks
-            here = np.flatnonzero((block == at[1] // blocks) | (block == at[1] % blocks))
-            wide, block, place = wide[np.ix_(here, here)].astype(bool), block[here], np.searchsorted(points, members[here])
-            if at[1] // blocks != at[1] % blocks:  # pairs within a block have a cell of their own
-                wide &= block[:, None] != block
-            pairs[np.ix_(place, place)] |= wide
-        a, b = np.nonzero(np.triu(pairs, 1))
-        size, both = _overlaps(own, a, b)
-        good = 100 * both >= 80 * (size[a] + size[b] - both)
-        a, b = a[good], b[good]
-        links = np.bincount(np.concatenate([a, b]), minlength=len(points))
-        linked = np.flatnonzero(links)
-        if len(linked):
-            least = _labels(len(points), a, b)[linked]
-            yield pa.RecordBatch.from_arrays([pa.array(points[linked]), pa.array(links[linked]), pa.array(points[least])], names=["point", "n", "other"])
+        for batch in batches:
+            places = list(zip(*(batch.column(c).to_pylist() for c in ("root", "tile", "cell"))))
+            for k, place in enumerate(places):
+                if place != at:
+                    yield from solve()
+                    at, names, sets, grids = place, [], [], []
+                if batch.column("grid")[k].is_valid:
+                    grids.append(tuple(batch.column(c)[k].as_py() for c in ("blocks", "shingle", "names", "grid")))
+                else:
+                    data = np.frombuffer(open_(batch.column("packed")[k].as_buffer()), dtype=np.uint8)
+                    names.append(batch.column("point")[k].as_py())
+                    sets.append(shingles(data, np.array([0, len(data)]))[0])
+        yield from solve()
 
-    for batch in batches:
-        places = list(zip(batch.column("root").to_pylist(), batch.column("cell").to_pylist()))
-        for k, place in enumerate(places):
-            if place != at:
-                yield from solve()
-                at, names, sets, grids = place, [], [], []
-            if batch.column("grid")[k].is_valid:
-                grids.append(tuple(batch.column(c)[k].as_py() for c in ("blocks", "names", "grid")))
-            else:
-                data = np.frombuffer(open_(batch.column("packed")[k].as_buffer()), dtype=np.uint8)
-                names.append(batch.column("point")[k].as_py())
-                sets.append(shingles(data, np.array([0, len(data)]))[0])
-    yield from solve()
+    return run
 
 
 PAIR = "a long, b long"
-GRIDS = "point long, names binary, grid binary"
+GRIDS = "point long, shingle long, volume long, names binary, grid binary"
+CELLS = "root long, tile long, cell long, blocks long, shingle long, names binary, grid binary"
 
 
 class _Join:
@@ -386,24 +416,34 @@ class _Join:
         texts = self.texts.mapInArrow(_pack, "row_key long, text_key long, packed binary")
         return texts.join(places, KEYS).select("point", "packed").dropDuplicates(["point"])
 
-    def verified(self, groups):
+    def verified(self, groups, hot):
         """``point, n, other``: how many links a point has in a cell, and one point of its component there."""
         near = self.store(components(groups.mapInArrow(_ways, PAIR)), "candidate-groups")
-        sizes = near.groupBy("root").agg(F.count("*").alias("n"))
-        sizes = self.store(sizes.select("root", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "group-sizes")
-        near = self.store(near.join(sizes, "root").select(F.col("node").alias("point"), "root", "blocks"), "placed")
+        near = near.withColumnRenamed("node", "point").join(self.points.select("point", "n"), "point")
+        sizes = near.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("all"))
+        sizes = self.store(sizes.select("root", ((F.col("size") > BLOCK) | (F.col("all") > VOLUME)).alias("large")), "group-sizes")
+        near = self.store(near.select("point", "root").join(sizes, "root"), "placed")
+        blocks = F.greatest(F.length("names") / 8 / BLOCK, F.col("volume") / VOLUME)
+        placed = groups.join(near, "point").select(
+            "root",
+            F.when(F.col("large"), F.xxhash64("shingle", "names").bitwiseOR(F.lit(1).cast("long"))).otherwise(0).alias("tile"),
+            F.when(F.col("large"), F.ceil(blocks)).otherwise(1).cast("long").alias("blocks"),
+            "shingle", "names", "grid",
+        )
+        placed = self.store(placed, "placed-groups")
+        single = near.filter("not large").select("root", F.lit(0).cast("long").alias("tile"), F.lit(1).cast("long").alias("blocks"), "point")
+        spread = placed.filter("tile <> 0").mapInArrow(_members, "root long, tile long, blocks long, point long")
         block = F.pmod("point", "blocks")
         texts = (
-            self.packed(near.select("point"))
-            .join(near, "point")
+            single.unionByName(spread)
+            .join(self.store(self.packed(near.select("point")), "packed-texts"), "point")
             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .withColumn("cell", F.least(block, "block") * F.col("blocks") + F.greatest(block, "block"))
         )
-        grids = groups.join(near, "point").select("root", "blocks", "names", "grid")
-        grids = grids.mapInArrow(_to_cells, "root long, cell long, blocks long, names binary, grid binary")
-        rows = texts.select("root", "cell", "point", "packed").unionByName(grids, allowMissingColumns=True)
-        placed = rows.repartition("root", "cell").sortWithinPartitions("root", "cell", F.col("blocks").asc_nulls_first())
-        return self.store(placed.mapInArrow(_verify, "point long, n long, other long"), "links")
+        rows = texts.select("root", "tile", "cell", "point", "packed").unionByName(placed.mapInArrow(_to_cells, CELLS), allowMissingColumns=True)
+        cells = ["root", "tile", "cell"]
+        ready = rows.repartition(*cells).sortWithinPartitions(*cells, F.col("blocks").asc_nulls_first())
+        return self.store(ready.mapInArrow(_verify(hot), "point long, n long, other long"), "links")
 
     def run(self):
         members = self.store(self.texts.mapInArrow(_points, POINTS), "points")
@@ -414,8 +454,8 @@ class _Join:
         trees = entries.groupBy("shingle").agg(F.min("point").alias("first"), F.max("point").alias("last")).filter("first < last")
         trees = self.store(trees.select("shingle"), "trees")
         entries = self.store(entries.join(trees, "shingle").distinct(), "tree-entries")
+        links = self.verified(self.store(self.tree_groups(entries), "tree-groups"), hot)
         hot.unpersist()
-        links = self.verified(self.store(self.tree_groups(entries), "tree-groups"))
         roots = components(links.select(F.col("point").alias("a"), F.col("other").alias("b")))
         return members, links, self.store(roots, "components")
 

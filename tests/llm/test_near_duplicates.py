@@ -75,3 +75,18 @@ def test_all_links_are_counted(spark, sizes):
     rows += tables.rows(5, 160)
     got = tables.result(near_duplicates(tables.frame(spark, rows), **sizes), "doc_id", "n_links")
     assert got == degrees(rows) and (1000, 25) in got
+
+
+def test_large_groups_in_cells_of_trees(spark, monkeypatch):
+    """Groups too large for one cell: each tree's own, and blocks of them; a pair of several trees counts once."""
+    from riskloom.llm import near_duplicates as module
+
+    base = [f"w{i}" for i in range(120)]
+    rows = [(1000 + i, " ".join([*base, f"end{i}"])) for i in range(25)] + [(i, " ".join([f"x{i}", *base[i:], f"y{i}"])) for i in range(12)]
+    rows += tables.rows(5, 160)
+    for block, volume in ((1024, 900), (4, 1 << 19)):
+        monkeypatch.setattr(module, "BLOCK", block)
+        monkeypatch.setattr(module, "VOLUME", volume)
+        got = module.near_duplicates(tables.frame(spark, rows), hot_least=3, tile=8)
+        assert tables.result(got, "doc_id", "n_links") == degrees(rows)
+        assert tables.result(got, "doc_id", "n_shingles", "component_id") == sorted(brute.components(rows), key=repr)
