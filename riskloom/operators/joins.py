@@ -169,6 +169,11 @@ def retrieve_features(
     twice = sorted({n for n in names if [x.lower() for x in names].count(n.lower()) > 1})
     if twice:
         raise ValueError(f"columns {twice} occur twice in the result: give the views prefixes")
+    for view in views:
+        kinds = dict(view.frame.dtypes)
+        if not view.tie_break and any("map<" in kinds[c] for c in view.values):
+            # rows of one time that differ in a map only would have no order
+            raise ValueError("values that are maps have no order: give the view a tie_break")
     usable = spine.filter(_all_set([*keys, spine_ts]))
     unusable = spine.filter(~_all_set([*keys, spine_ts]))
     hot = None if hot_rows is None else hot_keys([usable, *[v.frame for v in views]], keys, hot_rows)

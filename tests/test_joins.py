@@ -120,3 +120,11 @@ def test_new_only(spark):
     current = spark.createDataFrame([("x",), ("y",)], "alert string")
     seen = spark.createDataFrame([("x",), ("x",)], "alert string")
     assert [r[0] for r in new_only(current, seen, ["alert"]).collect()] == ["y"]
+
+
+def test_map_values_need_a_tie_break(spark):
+    spine = spark.sql("SELECT 'a' AS k, 5 AS at")
+    view = spark.sql("SELECT 'a' AS k, 1 AS t, map('x', 1) AS m, 7 AS tie")
+    with pytest.raises(ValueError, match="tie_break"):
+        as_of_join(spine, view, ["k"], "at", "t", ["m"])
+    assert as_of_join(spine, view, ["k"], "at", "t", ["m"], tie_break=["tie"]).head().m == {"x": 1}
