@@ -335,6 +335,20 @@ def _overlaps(sets, a, b):
     return size, both
 
 
+def _least_shared(heads, a, b, shingle, block=1 << 14):
+    """Which pairs have ``shingle`` as the least entry of both. Where their least ``HEADS`` meet, the tree has seen to it."""
+    first = np.full((max(heads, default=0) + 1, HEADS), NONE)
+    for k, own in heads.items():
+        first[k, : min(HEADS, len(own))] = own[:HEADS]
+    keep = np.zeros(len(a), dtype=bool)
+    for at in range(0, len(a), block):
+        x, y = first[a[at : at + block]], first[b[at : at + block]]
+        keep[at : at + block] = ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] != NONE)).any(axis=(1, 2))
+    for k in np.flatnonzero(~keep).tolist():
+        keep[k] = np.intersect1d(heads[int(a[k])], heads[int(b[k])], True)[0] == shingle
+    return keep
+
+
 def _verify(shared):
     """Links of each cell's points; its texts (rows without ``grid``) come before its grids."""
     import zstandard
@@ -362,8 +376,8 @@ def _verify(shared):
             size, both = _overlaps(own, a, b)
             good = np.flatnonzero(100 * both >= 80 * (size[a] + size[b] - both))
             if tile:  # other trees may hold the pair too: it belongs to that of the least shingle of both
-                shingle, heads = grids[0][1], {int(k): _heads(own[k], hot) for k in np.unique(np.concatenate([a[good], b[good]]))}
-                good = np.array([k for k in good.tolist() if np.intersect1d(heads[int(a[k])], heads[int(b[k])], True)[0] == shingle], dtype=np.int64)
+                heads = {int(k): _heads(own[k], hot) for k in np.unique(np.concatenate([a[good], b[good]]))}
+                good = good[_least_shared(heads, a[good], b[good], grids[0][1])]
             a, b = a[good], b[good]
             links = np.bincount(np.concatenate([a, b]), minlength=len(points))
             linked = np.flatnonzero(links)
