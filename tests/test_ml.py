@@ -136,3 +136,20 @@ def test_halving_promote_per_rung(spark):
     assert sorted((r.rung, r.trial) for r in best.collect()) == [(1, 6), (1, 7), (2, 0)]
     low = H.halving_promote(frame, "rung", "score", factor=4, mode="min").filter("promoted")
     assert sorted((r.rung, r.trial) for r in low.collect()) == [(1, 0), (1, 1), (2, 3)]
+
+
+def test_long_projections_stay_compiled(spark):
+    """A session without a method limit gets that of the package when a train set is prepared; one that has a limit keeps it."""
+    from riskloom.session import SETTINGS, prefer_split_methods
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    try:
+        spark.conf.unset(key)
+        frame = spark.createDataFrame([(float(i), "a" if i % 2 else "b") for i in range(20)], "x double, y string")
+        T.TrainingFrame(frame, ["x"], [], "y").close()
+        assert spark.conf.get(key) == SETTINGS[key]
+        spark.conf.set(key, "9000")
+        prefer_split_methods(spark)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, SETTINGS[key])

@@ -42,3 +42,17 @@ def test_against_numpy(spark, kind, n):
 def test_columns_without_values(spark):
     frame = spark.createDataFrame([(None, 1.0), (None, 4.0)], "a double, b double")
     assert exact_quantiles(frame, ["a", "b"], [0.5]) == {"a": [None], "b": [2.5]}
+
+
+def test_passes_keep_their_size(spark, monkeypatch):
+    """One expression bins the values of all columns, so that a pass over many is compiled."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rng, plans, collect = np.random.default_rng(7), [], DataFrame.collect
+    values = rng.normal(size=(300, 12)) * 10.0 ** np.arange(-6, 18, 2)
+    frame = spark.createDataFrame(values.tolist(), [f"c{i}" for i in range(12)])
+    monkeypatch.setattr(DataFrame, "collect", lambda self: plans.append(self._jdf.queryExecution().analyzed().toString()) or collect(self))
+    found = exact_quantiles(frame, frame.columns, [0.5, 0.9])
+    assert plans and all(p.lower().count("log2(") <= 1 for p in plans)
+    for i, c in enumerate(frame.columns):
+        assert found[c] == pytest.approx(np.quantile(values[:, i], [0.5, 0.9]).tolist(), rel=1e-12)
